@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotviews.operators.slots import timestamp_to_ms
+from slotviews.session import scratch_path
 
 MONTH = ("202401010000", "202402010000")
 
@@ -52,6 +53,13 @@ struct<
 """
 
 
+def stored(rows: DataFrame, label: str) -> DataFrame:
+    """The rows written to the shared scratch folder and read back, as a raw table is."""
+    path = scratch_path(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events but errors as nested web events of a visitor's browser session.
 
@@ -61,7 +69,7 @@ def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     suffixed = "concat('s', user_id, '@@', (k div 4) % 2)"
     invite = "concat('inv', (k div 4) % 3)"
     rows = events(spark, sf_dir).where("event_type <> 'error'")
-    return rows.selectExpr(
+    rows = rows.selectExpr(
         f"""named_struct(
             'timeEpochMillisUTC', epoch_ms,
             'applicationId', concat('app', user_id % 3),
@@ -97,7 +105,8 @@ def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                 'userAgent', named_struct('value', named_struct('string', concat('Mozilla/5.0 (X11 (OS ', k % 3, '; x) Engine (y)'))),
                 'Browser', named_struct('value', named_struct('string', concat('b', k % 2))),
                 'deviceType', named_struct('value', named_struct('string', concat('d', k % 3))))) AS body""",
-    ).select(F.struct("*").cast(WEB_TYPE).alias("e")).select("e.*")
+    )
+    return stored(rows.select(F.struct("*").cast(WEB_TYPE).alias("e")).select("e.*"), "web")
 
 
 CHAT_TYPE = """
@@ -111,7 +120,7 @@ struct<eventRaisedTimeMillis: bigint, interactionId: string, eventType: string,
 def chat_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All error events as chat interactions; the event id says which stage."""
     rows = events(spark, sf_dir).where("event_type = 'error'")
-    return rows.selectExpr(
+    rows = rows.selectExpr(
         "epoch_ms AS eventRaisedTimeMillis",
         """if(event_id % 8 = 5 AND k % 2 = 0, concat('x', event_id),
               concat('i', user_id, '-', (k div 4) % 3)) AS interactionId""",
@@ -132,4 +141,5 @@ def chat_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                 'psid', concat('inv', (k div 4) % 3), 'queue', concat('q', k % 3),
                 'queueTransferCount', k % 2,
                 'VISITOR_STATUS_AT_TIME_OF_DISCONNECT', if(k % 3 = 0, NULL, 'active'))) AS context""",
-    ).select(F.struct("*").cast(CHAT_TYPE).alias("e")).select("e.*")
+    )
+    return stored(rows.select(F.struct("*").cast(CHAT_TYPE).alias("e")).select("e.*"), "chat")

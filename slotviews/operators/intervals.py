@@ -54,19 +54,14 @@ def next_times(df: DataFrame, keys: Sequence[str], time: str, span: int = SPAN_M
     times = df.select(*keys, F.col(time).alias(_T)).where(_all_present([*keys, _T]))
     times = _spanned(times.distinct(), span)
     inside = W.partitionBy(*keys, _SPAN).orderBy(_T)
-    times = times.withColumn("__next", F.lead(_T).over(inside))
-    across = W.partitionBy(*keys).orderBy(_SPAN)
-    edges = (
-        times.groupBy(*keys, _SPAN)
-        .agg(F.min(_T).alias("__first"))
-        .withColumn("__carry", F.lead("__first").over(across))
-        .drop("__first")
-    )
-    edges = _renamed(edges, [*keys, _SPAN], "__e_")
-    joined = times.join(edges, _equal([*keys, _SPAN], "__e_"), "left")
-    return joined.select(
-        *keys, F.col(_T).alias(time), F.coalesce("__next", "__carry").alias("next_time")
+    times = times.withColumns(
+        {"next_time": F.lead(_T).over(inside), "__first": F.first(_T).over(inside)}
     )
+    # the last time of a span is followed by the first one of the key's next span
+    across = W.partitionBy(*keys).orderBy(_SPAN)
+    edges = times.where("next_time IS NULL").withColumn("next_time", F.lead("__first").over(across))
+    followed = times.where("next_time IS NOT NULL").unionByName(edges)
+    return followed.select(*keys, F.col(_T).alias(time), "next_time")
 
 
 def next_event(
@@ -113,26 +108,24 @@ def locate(
     inside = W.partitionBy(*keys, _SPAN).orderBy(_T)
     upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
     before = inside.rowsBetween(W.unboundedPreceding, -1)
-    marks = marks.withColumn("__opened", opened)
-    held = marks.withColumns(
+    held = marks.select(*keys, _SPAN, _T, "__point", opened.alias("__opened")).withColumns(
         {
             "__latest": F.last("__opened", ignorenulls=True).over(upto),
             "__previous": F.last("__opened", ignorenulls=True).over(before),
+            "__edge": F.lead(_T).over(inside).isNull(),
         }
-    ).where("__point")
-
+    )
+    # What is open at the end of a span is carried to the key's later spans. The mark
+    # is never null: naming it keeps both branches' columns equal, so that the shuffle
+    # below them runs once.
     earlier = W.partitionBy(*keys).orderBy(_SPAN).rowsBetween(W.unboundedPreceding, -1)
-    edges = (
-        marks.groupBy(*keys, _SPAN)
-        .agg(F.max("__opened").alias("__last"))
-        .withColumn("__carry", F.last("__last", ignorenulls=True).over(earlier))
-        .drop("__last")
+    edges = held.where(F.col("__edge") & F.col("__point").isNotNull()).select(
+        *keys, _SPAN, F.last("__latest", ignorenulls=True).over(earlier).alias("__carry")
     )
     edges = _renamed(edges, [*keys, _SPAN], "__e_")
-    held = held.join(edges, _equal([*keys, _SPAN], "__e_"), "left")
+    held = held.where("__point").join(edges, _equal([*keys, _SPAN], "__e_"), "left")
     latest = F.coalesce("__latest", "__carry")
-    on_boundary = F.col("__end").isNotNull()
-    previous = F.when(on_boundary, F.coalesce("__previous", "__carry"))
+    previous = F.when(F.col("__opened").isNotNull(), F.coalesce("__previous", "__carry"))
     return (
         held.select(*keys, F.col(_T).alias(time), F.explode(F.array(latest, previous)).alias("__hit"))
         .where(F.col("__hit.end") >= F.col(time))
