@@ -4,7 +4,16 @@ from __future__ import annotations
 
 
 def all_checks():
-    from checks import journey_checks
+    from checks import column_checks, journey_checks, quality_checks, slot_checks, source_checks, view_checks, voice_checks
     from checks.registry import checks_of
 
-    return [check for module in (journey_checks,) for check in checks_of(module)]
+    modules = (
+        slot_checks,
+        source_checks,
+        column_checks,
+        view_checks,
+        journey_checks,
+        quality_checks,
+        voice_checks,
+    )
+    return [check for module in modules for check in checks_of(module)]

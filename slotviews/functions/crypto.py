@@ -12,8 +12,8 @@ from slotviews.operators.columns import quoted
 
 
 def encrypt(column: Column, key: str) -> Column:
-    """Base64 cipher text of the value's text; null stays null."""
-    return F.base64(F.aes_encrypt(column.cast("string"), F.lit(key)))
+    """Base64 cipher text of the value's text, on one line; null stays null."""
+    return F.translate(F.base64(F.aes_encrypt(column.cast("string"), F.lit(key))), "\r\n", "")
 
 
 def decrypt(column: Column, key: str) -> Column:

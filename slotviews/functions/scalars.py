@@ -65,7 +65,7 @@ def register_functions(spark: SparkSession, key: str) -> None:
     secret = _text_literal(key)
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION encrypt(plain STRING) RETURNS STRING "
-        f"RETURN base64(aes_encrypt(plain, {secret}))"
+        f"RETURN translate(base64(aes_encrypt(plain, {secret})), chr(13) || chr(10), '')"
     )
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION decrypt(cipher STRING) RETURNS STRING "

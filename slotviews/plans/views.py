@@ -7,21 +7,28 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from slotviews.errors import BuilderError, ReadError, SlotViewsError
+from slotviews.errors import BuilderError, ReadError, SlotViewsError, SpecError
 from slotviews.functions.crypto import decrypt_columns, encrypt_columns
 from slotviews.functions.scalars import register_functions
 from slotviews.operators.dedup import dedup_by_keys
 from slotviews.operators.slots import (
+    SLOT_COLUMNS,
     check_window,
     day_bucket_folders,
     parse_slot,
     slot_id,
-    window_folders,
 )
 from slotviews.plans.specs import Import, Load, ViewSpec
 from slotviews.sources.files import Files
-from slotviews.sources.readers import reader_of
-from slotviews.sources.slot_table import existing_slots, read_slots, table_location, write_slots
+from slotviews.sources.readers import FILE_FORMATS, reader_of
+from slotviews.sources.slot_table import (
+    covering_folders,
+    existing_slots,
+    read_slots,
+    slots_below,
+    table_location,
+    write_slots,
+)
 
 
 def import_window(link: Import, start: datetime, end: datetime) -> tuple[datetime, datetime]:
@@ -62,19 +69,27 @@ class Workspace:
         return table_location(self.root, spec.uri, spec.name)
 
     def frame(self, spec: ViewSpec, client: str, start: datetime, end: datetime) -> DataFrame:
-        return self._resolve(spec, client, start, end, spec.prefer_materialized, True, spec.name)
-
-    def _resolve(self, spec, client, start, end, prefer, is_root, name) -> DataFrame:
-        source = source_of(spec, prefer, is_root)
-        if source == "stored":
+        return self._resolve(spec, client, start, end, spec.prefer_materialized, {}, spec.name)
+
+    def _resolve(self, spec, client, start, end, prefer, known, name) -> DataFrame:
+        # ``known`` holds what this run has resolved; it is empty for the root
+        source = source_of(spec, prefer, not known)
+        again = (id(spec), start, end)
+        if again in known:
+            if known[again] is None:
+                raise SpecError(f"{spec.name} imports itself")
+            rows = known[again]
+        elif source == "stored":
             rows = self._stored(spec, client, start, end)
         elif source == "raw":
             rows = dedup_by_keys(self._raw(spec, client, start, end), spec.dedup_keys)
         else:
+            known[again] = None
             for link in spec.imports:
                 window = import_window(link, start, end)
-                self._resolve(link.spec, client, *window, prefer, False, link.name)
+                self._resolve(link.spec, client, *window, prefer, known, link.name)
             rows = self._build(spec)
+        known[again] = rows
         rows.createOrReplaceTempView(name)
         return rows
 
@@ -100,21 +115,28 @@ class Workspace:
         return decrypt_columns(rows, spec.sensitive, self.key, types)
 
     def _raw(self, spec, client, start, end) -> DataFrame:
-        location = spec.raw_location(self.root, client)
-        if spec.load is Load.STATIC:
-            wanted = [location]
-        elif spec.day_bucket:
-            wanted = [f"{location.rstrip('/')}/{f}" for f in day_bucket_folders(spec.day_bucket, start, end)]
-        else:
-            wanted = [f"{location}/{folder}" for folder in window_folders(start, end)]
+        location = spec.raw_location(self.root, client).rstrip("/")
         files = Files(self.spark, location)
-        paths = [path for path in wanted if files.glob(path)]
+        reader, conf = spec.reader or reader_of(spec.fmt), dict(spec.source_conf)
+        by_slot = spec.load is Load.RELATIVE and not spec.day_bucket
+        if by_slot:
+            found = slots_below(files, location, start, end)
+            paths = list(found.values())
+        elif spec.load is Load.STATIC:
+            paths = [location] if files.exists(location) else []
+        else:
+            days = [f"{location}/{folder}" for folder in day_bucket_folders(spec.day_bucket, start, end)]
+            paths = [path for path in days if files.glob(path)]
         if not paths:
             raise ReadError(f"no input for {spec.name} below {location} in [{start}, {end})")
         self.input_paths += paths
-        reader = spec.reader or reader_of(spec.fmt)
+        by_slot = by_slot and spec.reader is None and spec.fmt.upper() in FILE_FORMATS
+        if by_slot:
+            paths = [f"{location}/{folder}" for folder in covering_folders(found, start, end)]
+            conf["base_path"] = location
         try:
-            return reader(self.spark, paths, spec.source_conf)
+            rows = reader(self.spark, paths, conf)
+            return rows.drop(*SLOT_COLUMNS) if by_slot else rows
         except SlotViewsError:
             raise
         except Exception as error:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RUN_SCHEMA = (
@@ -14,6 +14,11 @@ RUN_SCHEMA = (
 )
 
 
+def metrics_json() -> Column:
+    """A record with the fields of :data:`RUN_SCHEMA` as JSON text."""
+    return F.to_json(F.struct("id", "eventSource", "eventTime", "body"))
+
+
 def run_metrics(
     spark: SparkSession,
     run_id: str,
@@ -27,7 +32,7 @@ def run_metrics(
     """One row with the run as JSON: ``key`` and ``value``, as a message sink takes it."""
     body = (view, client, nominal_time, str(executed_at), list(paths))
     record = spark.createDataFrame([(run_id, source, executed_at, body)], RUN_SCHEMA)
-    return record.select(F.col("id").alias("key"), F.to_json(F.struct("*")).alias("value"))
+    return record.select(F.col("id").alias("key"), metrics_json().alias("value"))
 
 
 def append_metrics(record: DataFrame, path: str) -> None:

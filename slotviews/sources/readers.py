@@ -90,33 +90,40 @@ def sequence_frames(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return spark.createDataFrame(values, "frame binary", verifySchema=False)
 
 
+def _file_reader(spark: SparkSession, conf: Conf):
+    """``base_path`` in ``conf`` makes folders of any depth below it readable at once."""
+    return spark.read if conf.get("base_path") is None else spark.read.option("basePath", conf["base_path"])
+
+
 def read_avro(spark: SparkSession, paths: Sequence[str], conf: Conf) -> DataFrame:
     """Avro with a fixed reader schema (needs Spark's avro package on the class path)."""
-    reader = spark.read.format("avro")
+    reader = _file_reader(spark, conf).format("avro")
     if conf.get("avro_schema"):
         reader = reader.option("avroSchema", conf["avro_schema"])
     return reader.load(list(paths))
 
 
 def read_json(spark: SparkSession, paths: Sequence[str], conf: Conf) -> DataFrame:
-    reader = spark.read if conf.get("schema") is None else spark.read.schema(conf["schema"])
+    reader = _file_reader(spark, conf)
+    if conf.get("schema") is not None:
+        reader = reader.schema(conf["schema"])
     return reader.json(list(paths))
 
 
 def read_csv(spark: SparkSession, paths: Sequence[str], conf: Conf) -> DataFrame:
     """CSV with a header; all columns are text unless a schema is given."""
-    reader = spark.read.option("header", True).option("delimiter", conf.get("delimiter", ","))
+    reader = _file_reader(spark, conf).option("header", True).option("delimiter", conf.get("delimiter", ","))
     if conf.get("schema") is not None:
         reader = reader.schema(conf["schema"])
     return reader.csv(list(paths))
 
 
 def read_parquet(spark: SparkSession, paths: Sequence[str], conf: Conf) -> DataFrame:
-    return spark.read.parquet(*paths)
+    return _file_reader(spark, conf).parquet(*paths)
 
 
 def read_orc(spark: SparkSession, paths: Sequence[str], conf: Conf) -> DataFrame:
-    return spark.read.orc(list(paths))
+    return _file_reader(spark, conf).orc(list(paths))
 
 
 def read_sequence_json(spark: SparkSession, paths: Sequence[str], conf: Conf) -> DataFrame:
@@ -173,6 +180,10 @@ READERS: dict[str, Reader] = {
 }
 
 
+# formats read by a Spark file source, which can take whole days of slots at once
+FILE_FORMATS = ("AVRO", "JSON", "CSV", "PARQUET", "ORC")
+
+
 def reader_of(fmt: str) -> Reader:
     try:
         return READERS[fmt.upper()]

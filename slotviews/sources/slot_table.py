@@ -8,7 +8,9 @@ half-replaced window for a complete one, and a rerun repairs a broken one.
 from __future__ import annotations
 
 import uuid
-from collections import defaultdict
+from collections import Counter, defaultdict
+from collections.abc import Iterable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,21 +47,44 @@ def stored_format(fmt: str) -> str:
     return fmt.lower() if fmt.lower() in WRITABLE else "json"
 
 
-def existing_slots(spark: SparkSession, location: str, client: str, start, end) -> dict[str, str]:
-    """Stored slots of the window: relative slot folder -> full path."""
-    files = Files(spark, location)
+def slots_below(files: Files, base: str, start, end) -> dict[str, str]:
+    """The window's slots that exist below a folder: relative folder -> full path.
+
+    One listing per day of the window.
+    """
     by_day = defaultdict(set)
     for step in window_steps(start, end):
         by_day[f"year={step:%Y}/month={step:%m}/day={step:%d}"].add(slot_folder(step))
     found = {}
-    for day, folders in by_day.items():
-        for path in files.glob(f"{location}/client={client}/{day}/hour=*/min=*"):
+    for paths in files.each(lambda day: files.glob(f"{base}/{day}/hour=*/min=*"), by_day):
+        for path in paths:
             folder = "/".join(path.split("/")[-5:])
-            if folder in folders:
+            if folder in by_day[folder.rsplit("/", 2)[0]]:
                 found[folder] = path
     return dict(sorted(found.items()))
 
 
+def existing_slots(spark: SparkSession, location: str, client: str, start, end) -> dict[str, str]:
+    """Stored slots of the window: relative slot folder -> full path."""
+    return slots_below(Files(spark, location), f"{location}/client={client}", start, end)
+
+
+def covering_folders(found: Iterable[str], start, end) -> list[str]:
+    """The slots found in a window as few folders: whole days and hours where possible.
+
+    Spark lists every path it is given by itself, so thirty days are thirty paths and
+    not thousands. A day or hour stands for its slots only if the window holds it all.
+    """
+    window = [slot_folder(step) for step in window_steps(start, end)]
+    by_day = Counter(folder.rsplit("/", 2)[0] for folder in window)
+    by_hour = Counter(folder.rsplit("/", 1)[0] for folder in window)
+    covering = {}
+    for folder in found:
+        hour, day = folder.rsplit("/", 1)[0], folder.rsplit("/", 2)[0]
+        covering[day if by_day[day] == 96 else hour if by_hour[hour] == 4 else folder] = True
+    return list(covering)
+
+
 def slots_to_write(df: DataFrame, epoch_column: str) -> DataFrame:
     """The distinct slots a frame's rows fall into."""
     return with_slot_columns(df.select(epoch_column), epoch_column).select(*SLOT_COLUMNS).distinct()
@@ -82,8 +107,8 @@ def write_slots(
     what their slot already holds). Without a window every slot is appended to.
 
     Rows are written once, to a staging folder beside the target, with a REBALANCE on
-    the slot: small slots share a task, and a slot with most of the rows is split over
-    several. The staged folders are then renamed on the driver, slot by slot.
+    the slot: a slot's rows meet in one task, and a slot with most of the rows is split
+    over several. The staged folders are then renamed from the driver, slot by slot.
     """
     if epoch_column not in df.columns:
         raise WriteError(f"no time column {epoch_column} to derive slots from")
@@ -104,12 +129,29 @@ def write_slots(
         writer = writer.option("header", True)
     files = Files(spark, location)
     try:
-        writer.save(staging)
+        with _every_partition(spark):
+            writer.save(staging)
         return _publish(spark, files, staging, location, client, start, end, outside)
     finally:
         files.delete(staging)
 
 
+@contextmanager
+def _every_partition(spark: SparkSession):
+    """One task per shuffle partition while a slot write runs.
+
+    A slot is in one shuffle partition, unless it is split for its size. Coalescing
+    partitions would not save a file, it would only let fewer tasks open them.
+    """
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _publish(spark, files: Files, staging: str, location: str, client: str, start, end, outside: str) -> list[str]:
     clients = {path.rsplit("client=", 1)[1] for path in files.glob(f"{staging}/client=*")}
     if clients - {client}:
@@ -127,22 +169,22 @@ def _publish(spark, files: Files, staging: str, location: str, client: str, star
             raise WriteError(f"{len(beyond)} slots outside the window, first {beyond[0]}")
 
     target = f"{location}/client={client}"
-    for folder, path in stored.items():
-        files.delete(f"{path}/{MARKER}")
-    for folder, path in staged.items():
+
+    def publish(folder: str) -> None:
         final = f"{target}/{folder}"
-        if folder in window or not files.exists(final):
+        if folder in stored:
             files.delete(final)
-            files.mkdirs(final.rsplit("/", 1)[0])
-            _move(files, path, final)
+        if folder in window or not files.exists(final):
+            _move(files, staged[folder], final)
         else:
-            for child in files.children(path):
+            for child in files.children(staged[folder]):
                 _move(files, child, f"{final}/{child.rsplit('/', 1)[1]}")
-    for folder, path in stored.items():
-        if folder not in staged:
-            files.delete(path)
-    for folder in staged:
-        files.touch(f"{target}/{folder}/{MARKER}")
+
+    files.each(lambda path: files.delete(f"{path}/{MARKER}"), stored.values())
+    files.each(files.mkdirs, sorted({f"{target}/{folder}".rsplit("/", 1)[0] for folder in staged}))
+    files.each(publish, staged)
+    files.each(files.delete, [path for folder, path in stored.items() if folder not in staged])
+    files.each(lambda folder: files.touch(f"{target}/{folder}/{MARKER}"), staged)
     return sorted(staged)
 
 
@@ -172,7 +214,8 @@ def read_slots(
     if not found:
         raise ReadError(f"no slots stored in {location} for {client} in [{start}, {end})")
     files = Files(spark, location)
-    open_slots = [folder for folder, path in found.items() if not files.exists(f"{path}/{MARKER}")]
+    marked = files.each(lambda path: files.exists(f"{path}/{MARKER}"), found.values())
+    open_slots = [folder for folder, complete in zip(found, marked) if not complete]
     if open_slots:
         raise ReadError(f"{len(open_slots)} slots are not complete, first {open_slots[0]}")
     if require_all and len(found) < len(window_steps(start, end)):
@@ -183,7 +226,7 @@ def read_slots(
         reader = reader.option("header", True)
     if schema is not None:
         reader = reader.schema(_with_partition_fields(schema))
-    rows = reader.load(list(found.values()))
+    rows = reader.load([f"{location}/client={client}/{folder}" for folder in covering_folders(found, start, end)])
     if not partition_columns:
         return decode_names(rows.drop("client", *SLOT_COLUMNS))
     return decode_names(_text_partitions(rows, client))
@@ -192,9 +235,9 @@ def read_slots(
 def _with_partition_fields(schema: T.StructType | str) -> T.StructType:
     fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     fields = T.StructType([T.StructField(encode_name(f.name), f.dataType, f.nullable) for f in fields])
-    fields = fields.add("client", "string").add("year", "int")
+    fields = fields.add("client", T.StringType()).add("year", T.IntegerType())
     for name in SLOT_COLUMNS[1:]:
-        fields = fields.add(name, "string")
+        fields = fields.add(name, T.StringType())
     return fields
 
 
