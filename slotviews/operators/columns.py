@@ -63,7 +63,9 @@ def fill_blank(df: DataFrame) -> DataFrame:
 
 def all_nullable(df: DataFrame) -> DataFrame:
     """The same rows with every top-level column declared nullable."""
-    return df.select(*[F.when(F.lit(True), F.col(quoted(n))).alias(n) for n in df.columns])
+    fields = [T.StructField(f.name, f.dataType, True) for f in df.schema]
+    # the optimizer drops the empty side; the union is what makes the columns nullable
+    return df.sparkSession.createDataFrame([], T.StructType(fields)).union(df)
 
 
 def with_literals(df: DataFrame, **values) -> DataFrame:

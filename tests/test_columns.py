@@ -1,0 +1,118 @@
+import json
+
+import pytest
+from tests.conftest import plan_of, rows_of
+
+from slotviews.errors import DedupError, SpecError
+from slotviews.functions.crypto import decrypt_columns, encrypt_columns
+from slotviews.functions.scalars import base_session, client_of_account, hide_listed, operating_system, register_functions
+from slotviews.operators import columns
+from slotviews.operators.dedup import dedup_by_keys, latest_by
+from pyspark.sql import functions as F
+
+KEY = "0123456789abcdef"
+
+
+@pytest.fixture
+def people(spark):
+    schema = "name string, age bigint, cars struct<car1: string, car2: string, car3: string>"
+    return spark.createDataFrame([("John", 30, ("Ford", "BMW", "Fiat")), ("Ann", None, None)], schema)
+
+
+def test_flatten_and_star(people):
+    assert columns.flatten(people).columns == ["name", "age", "cars_car1", "cars_car2", "cars_car3"]
+    assert tuple(columns.expand_structs(people, "cars").first()) == ("Ford", "BMW", "Fiat")
+
+
+def test_name_encoding_round_trip(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4)], "account string, `account id` string, `account (data)` string, `a~b*c.d` string".replace("string", "int"))
+    encoded = columns.encode_names(df)
+    assert encoded.columns == ["account", "account+id", "account+%28data%29", "a%7Eb*c.d"]
+    assert columns.decode_names(encoded).columns == df.columns
+
+
+def test_fields(people):
+    rows = people.select(
+        columns.field_exists(people, "cars", "car1"),
+        columns.field_exists(people, "cars", "car123"),
+        columns.field_value(people, "cars", "car1"),
+        columns.field_value(people, "cars", "car123"),
+    ).collect()
+    assert [tuple(r) for r in rows] == [(True, False, "Ford", ""), (False, False, "", "")]
+
+
+def test_sql_functions(spark, people):
+    register_functions(spark, KEY)
+    people.createOrReplaceTempView("people")
+    rows = spark.sql(
+        """SELECT isFieldExists(cars, 'car1'), isFieldExists(cars, 'car123'), getFieldValue(cars, 'car1'),
+        getFieldValue(cars, 'car123'), decrypt(encrypt(name)), encrypt(name) = name, decrypt(encrypt(age)) FROM people"""
+    ).collect()
+    assert [tuple(r) for r in rows] == [
+        (True, False, "Ford", "", "John", False, "30"),
+        (False, False, "", "", "Ann", False, None),
+    ]
+
+
+def test_defaults(people):
+    filled = columns.fill_blank(people.select(F.nullif("name", F.lit("Ann")).alias("name"), "age"))
+    assert rows_of(filled.select("name")) == [("",), ("John",)]
+    assert filled.where("age IS NULL").count() == 1
+    tagged = columns.ensure_client(people, "acme")
+    assert columns.ensure_client(tagged, "other").first().client == "acme"
+    strict = people.select(F.lit(1).alias("one"))
+    assert not strict.schema["one"].nullable and columns.all_nullable(strict).schema["one"].nullable
+
+
+def test_row_text_writes_nulls(people):
+    assert rows_of(people.select(columns.row_text(["name", "age"]))) == [("Ann|null",), ("John|30",)]
+
+
+def test_encryption(people):
+    cipher = encrypt_columns(people, ["age", "name"], KEY)
+    assert cipher.columns == people.columns
+    assert cipher.where("name = 'John' OR age = '30'").count() == 0
+    assert "PythonUDF" not in plan_of(cipher)
+    back = decrypt_columns(cipher, ["name", "age"], KEY, {"age": "bigint"})
+    assert back.schema == people.schema and back.collect() == people.collect()
+    with pytest.raises(SpecError):
+        encrypt_columns(people, ["cars.car1"], KEY)
+
+
+def test_long_cipher_text_is_one_line(spark):
+    cipher = encrypt_columns(spark.createDataFrame([("x" * 500,)], "t string"), ["t"], KEY)
+    assert "\n" not in cipher.first().t
+
+
+def test_scalars(spark):
+    row = spark.range(1).select(
+        operating_system(F.lit("Mozilla/5.0 (Windows NT 10.0; Win64) Apple (KHTML)")),
+        operating_system(F.lit("no brackets")),
+        base_session(F.lit("abc@@x@@y")),
+        client_of_account(F.lit("acme-account-1")),
+    ).first()
+    assert tuple(row) == ("Windows NT 10.0; Win64", "no brackets", "abc", "acme")
+    hidden = spark.range(1000).select(hide_listed(F.col("id"), [0, 1, 2]).alias("v"))
+    assert hidden.where("v = -1").count() == 3 and hidden.where("v > 2").count() == 997
+
+
+def test_dedup(spark):
+    df = spark.createDataFrame([(1, "a", (7,)), (1, "a", (7,)), (1, None, (8,)), (1, None, (7,))], "id1 int, id2 string, message struct<id: int>")
+    assert dedup_by_keys(df, ["id1", "id2"]).count() == 2
+    nested = dedup_by_keys(df, ["message.id"])
+    assert nested.columns == df.columns and nested.count() == 2
+    assert dedup_by_keys(df, []).count() == 4
+    with pytest.raises(DedupError):
+        dedup_by_keys(df, ["message.nope"])
+
+
+def test_latest(spark):
+    df = spark.createDataFrame([("j", "old", 1), ("j", "new", 2), ("k", "only", 1)], "job string, status string, at int")
+    latest = latest_by(df, ["job"], ["at"])
+    assert latest.columns == df.columns and rows_of(latest) == [("j", "new", 2), ("k", "only", 1)]
+
+
+def test_literals(people):
+    row = columns.with_literals(people, table="t", n=1).first()
+    assert (row.table, row.n) == ("t", 1)
+    assert json.loads(columns.all_nullable(people).schema.json()) == json.loads(people.schema.json())
