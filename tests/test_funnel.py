@@ -49,24 +49,53 @@ def chat(stage, t, reason=None, account="acme-1", interaction="c1", vi="v1", psi
     )
 
 
-def funnel(spark, web_rows, chat_rows=(), **options):
-    def parsed(rows, kind):
-        texts = spark.createDataFrame([(r,) for r in rows], "value string")
-        return texts.select(F.from_json("value", kind).alias("r")).select("r.*")
-
-    return journey_funnel(parsed(web_rows, WEB_TYPE), parsed(chat_rows, CHAT_TYPE), **options)
-
-
-VISIT = [web("page", 1000), web("hot", 2000), web("offer", 3000), web("answer", 4000), web("form", 4500), web("screen", 4200)]
-
-
-@pytest.mark.parametrize("staged", [False, True])
-def test_whole_journey(spark, tmp_path, staged):
-    chats = [chat(s, 5000 + i) for i, s in enumerate(("initiated", "requested", "started", "interactive", "noninteractive", "disposed"))]
-    chats += [chat("requested", 9000), chat("terminated", 6000, "owner_left")]
-    rows = funnel(spark, VISIT, chats, **({"staging": str(tmp_path / "s")} if staged else {}))
-    assert len(rows.columns) == 74
-    (row,) = rows.collect()
+def parsed(spark, rows, kind):
+    texts = spark.createDataFrame([(r,) for r in rows], "value string")
+    return texts.select(F.from_json("value", kind).alias("r")).select("r.*")
+
+
+def visit(tag):
+    times = {"page": 1000, "hot": 2000, "offer": 3000, "screen": 4200, "answer": 4000, "form": 4500}
+    return [web(kind, t, tag=tag) for kind, t in times.items()]
+
+
+GAPS = {5000: 0, 5001: 1, 10001: 2, 15001: 3, 30000: 3, 30001: 4}
+WEB = [
+    *visit("whole"),
+    *[row for gap in GAPS for row in visit(f"gap{gap}")],
+    *visit("full"),
+    *visit("noticed"),
+    web("notice", 2500, tag="noticed"),
+    *[web(kind, t, tag="boundary") for kind, t in (("page", 1000), ("page", 2000), ("hot", 2000))],
+    *[web(kind, t, tag="late") for kind, t in (("hot", 1000), ("page", 302000), ("offer", 301001))],
+    *[web(kind, t, tag="early notice") for kind, t in (("hot", 1000), ("notice", 1500), ("notice", 1600))],
+]
+STAGES = ("initiated", "requested", "started", "interactive", "noninteractive", "disposed")
+CHAT = [
+    *[chat(stage, 5000 + i, vi="whole") for i, stage in enumerate(STAGES)],
+    chat("requested", 9000, vi="whole"),
+    chat("terminated", 6000, "owner_left"),
+    *[chat("cancelled", 4000 + gap, "visitor_leave", interaction="other", vi=f"gap{gap}") for gap in GAPS],
+    chat("requested", 4900, vi="full", interaction="c2"),
+    chat("cancelled", 5000, "QUEUE_FULL", vi=None, interaction="c2"),
+]
+
+
+@pytest.fixture(scope="module", params=["direct", "staged"])
+def journeys(request, spark, tmp_path_factory):
+    """Rows of the funnel by visitor."""
+    staging = str(tmp_path_factory.mktemp("funnel") / "s") if request.param == "staged" else None
+    found = journey_funnel(parsed(spark, WEB, WEB_TYPE), parsed(spark, CHAT, CHAT_TYPE), staging=staging)
+    assert len(found.columns) == 74
+    assert "CartesianProduct" not in plan_of(found) and "NestedLoop" not in plan_of(found)
+    rows = {}
+    for row in found.collect():
+        rows.setdefault(row.visitorID, []).append(row)
+    return rows
+
+
+def test_whole_journey(journeys):
+    (row,) = journeys["whole"]
     assert row.uniqueRowId == "2000:s1:i1:c1" and row.ruleID == "NULL" and row.pageLoadURL == "/p"
     assert (row.inviteResponseTimeEpochMillisUTC, row.pcfShownTimeEpochMillisUTC, row.pcfSubmitTimeEpochMillisUTC) == (4000, 4200, 4500)
     assert (row.chatRequestTimeEpochMillisUTC, row.chatStartedTimeEpochMillisUTC, row.chatInteractiveTimeEpochMillisUTC) == (5001, 5002, 5003)
@@ -76,35 +105,31 @@ def test_whole_journey(spark, tmp_path, staged):
     assert row.chatCancelID == "OWNER_LEFT" and row.chatCancelQueueID == "NULL"
 
 
-@pytest.mark.parametrize("gap, bucket", [(5000, 0), (5001, 1), (10001, 2), (15001, 3), (30000, 3), (30001, 4)])
-def test_cancel_latency(spark, gap, bucket):
-    cancelled = chat("cancelled", 4000 + gap, "visitor_leave", interaction="other")
-    (row,) = funnel(spark, VISIT, [cancelled]).collect()
-    assert [row[name] for name in CANCEL_BUCKETS] == [int(i == bucket) for i in range(5)]
-    assert row.preQueuedUserEndedFlag == 1 and row.aivaChatFlag == 1
+def test_cancel_latency(journeys):
+    for gap, bucket in GAPS.items():
+        (row,) = journeys[f"gap{gap}"]
+        assert [row[name] for name in CANCEL_BUCKETS] == [int(i == bucket) for i in range(5)]
+        assert row.preQueuedUserEndedFlag == 1 and row.aivaChatFlag == 1
 
 
-def test_cancelled_before_request_with_full_queue(spark):
-    (row,) = funnel(spark, VISIT, [chat("cancelled", 5000, "QUEUE_FULL", vi=None, interaction="c1"), chat("requested", 4900)]).collect()
+def test_cancelled_with_a_full_queue(journeys):
+    (row,) = journeys["full"]
     assert row.preQueuedQueueFullFlag == 1 and row.chatRequestTimeEpochMillisUTC == 4900
 
 
-def test_hot_lead_on_a_page_boundary_matches_both_pages(spark):
-    rows = funnel(spark, [web("page", 1000), web("page", 2000), web("hot", 2000)]).collect()
-    assert sorted(r.pageLoadTimeEpochMillisUTC for r in rows) == [1000, 2000]
+def test_hot_lead_on_a_page_boundary_matches_both_pages(journeys):
+    assert sorted(row.pageLoadTimeEpochMillisUTC for row in journeys["boundary"]) == [1000, 2000]
 
 
-def test_hot_lead_without_page_and_outside_the_horizon(spark):
-    rows = funnel(spark, [web("hot", 1000), web("page", 1000, "s2"), web("hot", 301001, "s2"), web("offer", 301001)]).collect()
-    found = {r.visitorBrowserSessionId: r for r in rows}
-    assert found["s1"].pageLoadURL is None and found["s2"].pageLoadURL is None
-    assert found["s1"].inviteID == "NULL" and found["s1"].interactionID == "NULL"
+def test_nothing_beyond_the_horizon(journeys):
+    (row,) = journeys["late"]
+    assert row.pageLoadURL is None and row.inviteID == "NULL" and row.interactionID == "NULL"
 
 
-def test_notice_before_an_invitation(spark):
-    (row,) = funnel(spark, [web("hot", 1000), web("notice", 1500), web("notice", 1600)]).collect()
+def test_notices(journeys):
+    (row,) = journeys["early notice"]
     assert row.queueAfterHoursPriorInviteFlag == 1 and row.caCheckFailPriorInviteFlag == 0
-    (row,) = funnel(spark, [*VISIT, web("notice", 2500)]).collect()
+    (row,) = journeys["noticed"]
     assert (row.queueAfterHoursPriorInviteFlag, row.queueAfterHoursPostInviteResponseFlag, row.queueAfterHoursPostPCFSubmitFlag) == (0, 1, 1)
 
 
@@ -124,8 +149,3 @@ def test_every_stage_and_cause(spark):
 def test_latency_needs_a_visitor_code(spark):
     flags = cancel_latency_flags(F.lit("OWNER_LEFT"), F.lit(1))
     assert sum(spark.range(1).select(*flags.values()).first()) == 0
-
-
-def test_plan_has_no_pair_comparison(spark):
-    plan = plan_of(funnel(spark, VISIT, [chat("requested", 1)]))
-    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
