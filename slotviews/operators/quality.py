@@ -78,11 +78,15 @@ def violated_rules(df: DataFrame, rules: Sequence[Rule], record_id: str) -> Data
     plain = [rule for rule in rules if not re.search(r"\bselect\b", rule.sql, re.IGNORECASE)]
     branches = []
     if plain:
+        # clean rows, usually most, go no further than the scan
+        violating = F.lit(False)
+        for rule in plain:
+            violating = violating | F.expr(rule.sql)
         hits = F.array(
             *[F.when(F.expr(rule.sql), F.struct(F.lit(rule.id).alias("rule_id"), F.lit(rule.name).alias("rule_name"))) for rule in plain]
         )
-        hits = F.explode(F.filter(hits, lambda hit: hit.isNotNull())).alias("hit")
-        branches.append(df.select(hits, F.expr(record_id).cast("string").alias("record_id")))
+        rows = df.where(violating).select(F.explode(hits).alias("hit"), F.expr(record_id).cast("string").alias("record_id"))
+        branches.append(rows.where("hit IS NOT NULL"))
     for rule in rules:
         if rule not in plain:
             hit = F.struct(F.lit(rule.id).alias("rule_id"), F.lit(rule.name).alias("rule_name")).alias("hit")
