@@ -19,6 +19,8 @@ as one chain they would all carry null keys into a single shuffle partition.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -219,7 +221,10 @@ def initiations(chat: DataFrame) -> DataFrame:
     return rows.select("o_t", "o_id", "o_vi", "o_psid", "o_queue", client_of_account(F.col("o_account")).alias("o_owner"))
 
 
-def invited_journeys(web: DataFrame, chat: DataFrame, hot: DataFrame, span: int = SPAN_MS) -> DataFrame:
+Staged = Callable[[DataFrame, str], DataFrame]
+
+
+def invited_journeys(web: DataFrame, chat: DataFrame, hot: DataFrame, span: int, staged: Staged) -> DataFrame:
     """Invitations tagged with their hot lead (``b_t``), and all that followed them."""
     offered = invitations(web).withColumns({"c_session": F.col("session"), "session": base_session(F.col("session"))})
     rows = points_in_intervals(offered, hot, KEYS, "c_t", "b_t", "b_next", span)
@@ -230,7 +235,7 @@ def invited_journeys(web: DataFrame, chat: DataFrame, hot: DataFrame, span: int
     requests = chats(chat).withColumn("f_owner", client_of_account(F.col("f_account")))
     rows = left_join_on(rows, requests, {"f_vi": "tag", "f_psid": "c_invite", "f_owner": "owner"})
     rows = left_join_any(
-        rows,
+        staged(rows, "requests"),
         cancellations(chat),
         [
             {"j_id": "f_id", "j_account": "f_account"},
@@ -249,9 +254,10 @@ def journey_funnel(
 ) -> DataFrame:
     """The funnel, 74 columns.
 
-    With a ``staging`` folder on shared storage the hot leads and page loads, which
-    several branches need, are computed once and stored there; without it they are
-    computed where they are used.
+    With a ``staging`` folder on shared storage, a new one for each run, the hot leads,
+    the page loads and the invitations with their requests, which several branches need,
+    are computed once and stored there. Without it they are computed where they are
+    used; that suits small windows only.
     """
 
     def staged(rows: DataFrame, name: str) -> DataFrame:
@@ -264,7 +270,7 @@ def journey_funnel(
     pages = staged(page_loads(web, horizon, span), "page_loads")
     on_page = intervals_of_points(hot, pages, KEYS, "b_t", "a_t", "a_next", span)
     noticed = points_in_intervals(notices(web), hot, KEYS, "l_t", "b_t", "b_next", span)
-    invited = invited_journeys(web, chat, hot, span)
+    invited = invited_journeys(web, chat, hot, span, staged)
     lead = [*KEYS, "b_t"]
     rows = attach(attach(attach(hot, on_page, lead), noticed, lead), invited, lead)
     return rows.select(*[column.alias(name) for name, column in funnel_columns().items()])
