@@ -69,6 +69,8 @@ class Workspace:
         return table_location(self.root, spec.uri, spec.name)
 
     def frame(self, spec: ViewSpec, client: str, start: datetime, end: datetime) -> DataFrame:
+        # what the latest run has read, for its metrics record
+        self.input_paths = []
         return self._resolve(spec, client, start, end, spec.prefer_materialized, {}, spec.name)
 
     def _resolve(self, spec, client, start, end, prefer, known, name) -> DataFrame:
