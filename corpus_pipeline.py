@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotviews.llm import langid, packing
+from slotviews.llm import jaccard, langid, packing
 from slotviews.llm.common import stored, table
 from slotviews.llm.queries import tokenizer_path
 
@@ -17,6 +17,13 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return said.filter("NOT ambiguous").select("_row.*")
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group that links connect."""
+    groups = jaccard.linked_components(docs).select(F.col("doc_id").alias("_id"), "component_id")
+    kept = groups.filter("_id = component_id").select("_id").distinct()
+    return docs.dropDuplicates(["doc_id"]).join(kept, F.col("doc_id") == F.col("_id"), "left_semi").unionByName(docs.filter("doc_id IS NULL"))
+
+
 def windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs the texts into windows of 2048 tokens."""
     return packing.pack(docs, tokenizer_path())
@@ -24,6 +31,7 @@ def windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language", languages),
+    ("near duplicates", near_duplicates),
     ("packing", windows),
 ]
 
@@ -34,5 +42,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

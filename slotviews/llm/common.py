@@ -70,17 +70,26 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BASE = 0x5851F42D4C957F2D
 _BACK = pow(_BASE, -1, 2**64)
-_powers: dict[int, np.ndarray] = {}
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """base**0 … base**(n-1) modulo 2**64."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        have = np.full(max(n, 2 * SLICE_BYTES), base, np.uint64)
-        have[0] = 1
-        _powers[base] = have = np.cumprod(have, dtype=np.uint64)
-    return have[:n]
+class Powers:
+    """base**0 … base**(n-1) modulo 2**64, remembered in each task."""
+
+    def __init__(self):
+        self.known: dict[int, np.ndarray] = {}
+
+    def __reduce__(self):
+        return Powers, ()
+
+    def __call__(self, base: int, n: int) -> np.ndarray:
+        if base not in self.known or len(self.known[base]) < n:
+            row = np.full(max(n, SLICE_BYTES + SLICE_BYTES // 4), base, np.uint64)
+            row[0] = 1
+            self.known[base] = np.cumprod(row, dtype=np.uint64)
+        return self.known[base][:n]
+
+
+powers = Powers()
 
 
 class Hashed:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotviews.llm import chat, fingerprints, langid, packing, substrings, warc
+from slotviews.llm import chat, fingerprints, jaccard, langid, packing, substrings, warc
 from slotviews.llm.common import table, with_next
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -97,6 +97,10 @@ FROM judged GROUP BY doc_id
 """
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked_components(table(spark, sf_dir, "documents"))
+
+
 def op8_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", langid.held_out(F.col("doc_id")))
     model = langid.train(docs.filter("NOT held_out"))
@@ -118,6 +122,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op1_chat_preference": (op1_chat_preference, OP1_SQL),
     "op2_multiset_fingerprint": (op2_multiset_fingerprint, None),
     "op4_line_dedup": (op4_line_dedup, OP4_SQL),
+    "op5_ngram_jaccard": (op5_ngram_jaccard, None),
     "op8_language_codes": (op8_language_codes, None),
     "op9_sum_of_squares_packing": (op9_sum_of_squares_packing, None),
     "op10_warc_index": (op10_warc_index, None),
