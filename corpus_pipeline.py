@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotviews.llm import jaccard, langid, packing
+from slotviews.llm import decontam, jaccard, langid, packing, privacy
 from slotviews.llm.common import stored, table
 from slotviews.llm.queries import tokenizer_path
 
@@ -18,10 +18,30 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group that links connect."""
-    groups = jaccard.linked_components(docs).select(F.col("doc_id").alias("_id"), "component_id")
-    kept = groups.filter("_id = component_id").select("_id").distinct()
-    return docs.dropDuplicates(["doc_id"]).join(kept, F.col("doc_id") == F.col("_id"), "left_semi").unionByName(docs.filter("doc_id IS NULL"))
+    """Keeps the document with the smallest id of each group that links connect.
+
+    Rows that repeat throughout count once; rows without an id stay.
+    """
+    groups = jaccard.linked_components(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
+    kept = docs.join(groups, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates()
+    return kept.unionByName(docs.filter("doc_id IS NULL"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a passage of the benchmark."""
+    hits = decontam.benchmark_hits(docs, table(spark, sf_dir, "benchmark"))
+    hits = hits.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h")).distinct()
+    return docs.join(hits, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_h")), "left_anti")
+
+
+def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Masks personal data in the texts."""
+    spans = privacy.personal_spans(docs).filter(F.size("spans") > 0)
+    spans = spans.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h"), F.col("spans").alias("_spans")).dropDuplicates(["_id", "_h"])
+    joined = docs.join(spans, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_h")), "left")
+    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(privacy.masked(F.col("text"), F.col("_spans")))
+    rows = joined.withColumn("text", text)
+    return rows.withColumn("n_chars", F.length("text").cast("bigint")).select(docs.columns) if "n_chars" in docs.columns else rows.select(docs.columns)
 
 
 def windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,6 +52,8 @@ def windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language", languages),
     ("near duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("private data", private_data),
     ("packing", windows),
 ]
 

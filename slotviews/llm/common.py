@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +33,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def sent(spark: SparkSession, value) -> Broadcast:
+    """A broadcast whose bytes carry the value's code along; ``pickle.loads`` restores it."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
 # ---------------------------------------------------------------- texts in tasks
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -9,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from slotviews.llm.common import sent
+
 BUCKETS = 8192  # hashed n-grams of 1 to 3 bytes
 MOST_LANGUAGES = 256  # a model is LANGUAGES x BUCKETS counts on the driver; more is an error
 UNDETERMINED = "und"
@@ -131,14 +134,14 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", lead: float =
     replaced.
     """
     spark = docs.sparkSession
-    model_sent = spark.sparkContext.broadcast(model)  # at most LANGUAGES x BUCKETS numbers
+    carried = sent(spark, model)  # at most LANGUAGES x BUCKETS numbers
     lettered = F.when(F.col(text_col).rlike(HAS_LETTER), F.col(text_col))
 
     @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
     def decode(texts):
         import pandas as pd
 
-        model = model_sent.value
+        model = pickle.loads(carried.value)
         rows = [(UNDETERMINED, 0.0, True) if t is None or not model.languages else (lambda d: (d[0], d[1], d[2] < lead))(model.decode(t)) for t in texts]
         return pd.DataFrame(rows, columns=["lang_pred", "score", "ambiguous"])
 

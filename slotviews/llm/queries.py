@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotviews.llm import chat, fingerprints, jaccard, langid, packing, substrings, warc
+from slotviews.llm import chat, decontam, fingerprints, jaccard, langid, packing, privacy, substrings, warc
 from slotviews.llm.common import table, with_next
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -79,6 +79,11 @@ def op2_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = decontam.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return hits.select("doc_id", "item_id", "similarity", "distance", "start", "end")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = substrings.dedup_units(table(spark, sf_dir, "documents"))
     spans = F.array_join(F.transform("removed", lambda r: F.concat_ws(":", r["start"], r["end"], r["first_id"])), ",")
@@ -101,6 +106,12 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked_components(table(spark, sf_dir, "documents"))
 
 
+def op6_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = privacy.personal_spans(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}") for kind in privacy.KINDS]  # noqa: B023
+    return rows.select("doc_id", *counts, F.sha2(privacy.listed(F.col("base")), 256).alias("base_sha256"), privacy.listed(F.col("spans")).alias("spans"))
+
+
 def op8_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", langid.held_out(F.col("doc_id")))
     model = langid.train(docs.filter("NOT held_out"))
@@ -121,8 +132,10 @@ def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_chat_preference": (op1_chat_preference, OP1_SQL),
     "op2_multiset_fingerprint": (op2_multiset_fingerprint, None),
+    "op3_simhash_decontamination": (op3_simhash_decontamination, None),
     "op4_line_dedup": (op4_line_dedup, OP4_SQL),
     "op5_ngram_jaccard": (op5_ngram_jaccard, None),
+    "op6_bootstrapped_pii": (op6_bootstrapped_pii, None),
     "op8_language_codes": (op8_language_codes, None),
     "op9_sum_of_squares_packing": (op9_sum_of_squares_packing, None),
     "op10_warc_index": (op10_warc_index, None),
