@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotviews.llm import chat, decontam, fingerprints, jaccard, langid, packing, privacy, substrings, warc
+from slotviews.llm import chat, decontam, fingerprints, jaccard, langid, packing, privacy, substrings, suffixes, warc
 from slotviews.llm.common import table, with_next
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -112,6 +112,12 @@ def op6_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *counts, F.sha2(privacy.listed(F.col("base")), 256).alias("base_sha256"), privacy.listed(F.col("spans")).alias("spans"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffixes.kept_bytes(suffixes.earlier_strings(table(spark, sf_dir, "documents")))
+    removed = F.aggregate("removed", F.lit(0).cast("bigint"), lambda a, r: a + r["end"] - r["start"])
+    return rows.select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), removed.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", langid.held_out(F.col("doc_id")))
     model = langid.train(docs.filter("NOT held_out"))
@@ -136,6 +142,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op4_line_dedup": (op4_line_dedup, OP4_SQL),
     "op5_ngram_jaccard": (op5_ngram_jaccard, None),
     "op6_bootstrapped_pii": (op6_bootstrapped_pii, None),
+    "op7_suffix_dedup": (op7_suffix_dedup, None),
     "op8_language_codes": (op8_language_codes, None),
     "op9_sum_of_squares_packing": (op9_sum_of_squares_packing, None),
     "op10_warc_index": (op10_warc_index, None),
