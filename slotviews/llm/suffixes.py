@@ -199,8 +199,10 @@ def _match(length: int):
         several = variants[np.searchsorted(names, grams)] > 1
         for keep, kind in ((earlier, "widths"), (~earlier & several, "grams")):
             at = np.flatnonzero(keep)
+            if not len(at):
+                continue
             at = at[np.argsort(blocks[at], kind="stable")]
-            edge = np.flatnonzero(np.concatenate(([True], np.diff(blocks[at]) != 0))) if len(at) else []
+            edge = np.flatnonzero(np.concatenate(([True], np.diff(blocks[at]) != 0)))
             rows = []
             for a, b in zip(edge, [*edge[1:], len(at)], strict=True):
                 own = at[a:b]
