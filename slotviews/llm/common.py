@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast, cloudpickle
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from slotviews.session import scratch_path
@@ -38,6 +38,39 @@ def sent(spark: SparkSession, value) -> Broadcast:
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))
 
 
+# ---------------------------------------------------------------- columns
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, also where lambdas repeat it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0).cast("bigint"), lambda a, x: a + x)
+
+
+def running(lengths: Column, chunk: int = 256) -> Column:
+    """Sums of an array from its start up to each element.
+
+    The sums before every ``chunk`` elements are computed first, so a long array does not
+    cost its square.
+    """
+
+    def within(lengths: Column) -> Column:
+        chunks = F.sequence(F.lit(0), F.floor(F.size(lengths) / chunk).cast("int"))
+        sums = F.transform(chunks, lambda c: total(F.slice(lengths, c * chunk + 1, F.lit(chunk))))
+        bases = let(sums, lambda s: F.transform(s, lambda _, c: total(F.slice(s, F.lit(1), c))))
+
+        def upto(bases: Column) -> Column:
+            own = lambda i: F.floor(i / chunk).cast("int")
+            return F.transform(lengths, lambda _, i: F.get(bases, own(i)) + total(F.slice(lengths, own(i) * chunk + 1, i % chunk + 1)))
+
+        return let(bases, upto)
+
+    return let(lengths, within)
+
+
 # ---------------------------------------------------------------- texts in tasks
 
 
@@ -163,12 +196,12 @@ class Words:
 # ---------------------------------------------------------------- order
 
 
-def with_next(df: DataFrame, id_col: str, columns: list[str], block_rows: int = 4096) -> DataFrame:
+def with_next(df: DataFrame, id_col: str, columns: list[str], block_rows: int = 4096, derive: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Adds ``next_<c>`` of the row with the next larger id; after the last comes the first.
 
     Ids are cut into blocks of about ``block_rows`` rows and each block is ordered by
     itself; it borrows the first row of the block behind it. Rows without an id come
-    first; equal ids are ordered by ``columns``.
+    first; equal ids are ordered by ``columns``. ``derive`` adds columns to each row once.
     """
     low, high, rows = df.agg(F.min(id_col), F.max(id_col), F.count(F.lit(1))).first()
     width = max(1, -(-((high or 0) - (low or 0) + 1) * block_rows // max(rows, 1)))
@@ -183,6 +216,7 @@ def with_next(df: DataFrame, id_col: str, columns: list[str], block_rows: int =
         heads = F.broadcast(heads)
     borrowed = df.join(heads, df[id_col].eqNullSafe(heads["_head"])).select(*[df[c] for c in df.columns], F.col("_into").alias("_block"), F.lit(1).alias("_ghost"))
     both = rows_in.withColumn("_ghost", F.lit(0)).unionByName(borrowed)
+    both = derive(both) if derive else both
     window = Window.partitionBy("_block").orderBy("_ghost", F.col(id_col).asc_nulls_first(), *columns)
     leads = {f"next_{c}": F.lead(c).over(window) for c in columns}
     return both.withColumns(leads).filter("_ghost = 0").drop("_block", "_ghost")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotviews.llm.common import stored
+from slotviews.llm.common import let, running, stored
 
 #: kinds in the order in which spans with one start are listed
 KINDS = ("email", "ip", "card", "phone")
@@ -23,37 +23,24 @@ CONTEXT_CHARS = 64
 ROUNDS = 3
 MIN_SEEDS = 5
 MIN_SCORE = 0.8
-CHUNK = 256
 
 _SPAN = "struct<start:bigint,kind_no:int,end:bigint,kind:string>"
 
 
-def _sum(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0).cast("bigint"), lambda a, x: a + x)
-
-
 def occurrences(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches: ``array<struct<start, end, match, gap>>``.
 
-    Offsets are characters. ``gap`` is what stands between the match before and this one.
-    Starts are prefix sums over gaps and matches, in chunks so that many matches in one
-    text do not cost their square.
+    Offsets are characters, as sums over gaps and matches; ``gap`` is what stands between
+    the match before and this one.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    steps = F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda m, g: F.struct(m.alias("match"), g.alias("gap"), (F.length(m) + F.length(g)).cast("bigint").alias("step")))
-    chunk = F.lit(CHUNK)
-    lengths = F.transform(steps, lambda s: s["step"])
-    chunks = F.sequence(F.lit(0), F.floor(F.size(steps) / chunk).cast("int"))
-    sums = F.transform(chunks, lambda c: _sum(F.slice(lengths, c * chunk + 1, chunk)))
-    bases = F.transform(sums, lambda s, c: _sum(F.slice(sums, F.lit(1), c)))
-
-    def placed(s, i):
-        inner = F.slice(lengths, F.floor(i / chunk).cast("int") * chunk + 1, i % chunk + 1)
-        end = F.get(bases, F.floor(i / chunk).cast("int")) + _sum(inner)
-        return F.struct((end - F.length(s["match"])).alias("start"), end.alias("end"), s["match"].alias("match"), s["gap"].alias("gap"))
-
-    return F.transform(steps, placed)
+    both = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("gaps"))
+    steps = let(both, lambda b: F.zip_with(b["found"], F.slice(b["gaps"], F.lit(1), F.size(b["found"])), lambda m, g: F.struct(m.alias("match"), g.alias("gap"))))
+
+    def placed(steps: Column) -> Column:
+        ends = running(F.transform(steps, lambda s: (F.length(s["match"]) + F.length(s["gap"])).cast("bigint")))
+        return F.zip_with(steps, ends, lambda s, end: F.struct((end - F.length(s["match"])).alias("start"), end.alias("end"), s["match"].alias("match"), s["gap"].alias("gap")))
+
+    return let(steps, placed)
 
 
 def _digits(text: Column) -> Column:
