@@ -62,7 +62,7 @@ class Items:
 
     def __init__(self, ids: list, texts: list[str], words: int):
         encoded = [t.encode() for t in texts]
-        offsets = np.concatenate(([0], np.cumsum([len(t) for t in encoded])))
+        offsets = np.concatenate(([0], np.cumsum([len(t) for t in encoded], dtype=np.int64)))
         s = Shingled(np.frombuffer(b"".join(encoded), np.uint8), offsets, words)
         self.ids, self.words = ids, words
         self.length = np.diff(s.words.first)

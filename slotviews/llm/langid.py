@@ -78,6 +78,8 @@ def model_of(languages: list[str], counts: np.ndarray) -> Model:
     100 n-grams are trusted less.
     """
     code = codewords(len(languages))
+    if not languages:
+        return Model((), code, np.zeros((BUCKETS, 1)), np.ones(1))
     shares = (counts + 0.5) / (counts + 0.5).sum(1, keepdims=True)
     ones, zeros = (code > 0).astype(float), (code < 0).astype(float)
     mean = lambda side: (side / np.maximum(side.sum(0), 1)).T @ shares + 1e-12

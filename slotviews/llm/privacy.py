@@ -90,7 +90,10 @@ def _word(text: Column) -> Column:
 
 
 def _mentions(text: Column, spans: Column) -> Column:
-    """Identifier-like tokens, without punctuation around them: place, two words before, seed."""
+    """Identifier-like tokens, without punctuation around them: place, two words before, seed.
+
+    A base span is one mention, with its own text, whatever tokens it is made of.
+    """
 
     def mention(m):
         head = F.length(F.regexp_extract(m["match"], "^[(\\[{<\"'=:]*", 0))
@@ -98,10 +101,17 @@ def _mentions(text: Column, spans: Column) -> Column:
         start, end = m["start"] + head, m["end"] - tail
         before = F.split(F.rtrim(F.right(m["gap"], F.lit(CONTEXT_CHARS))), "\\s+")
         pattern = F.concat_ws(" ", F.coalesce(_word(F.get(before, F.size(before) - 2)), F.lit("")), F.coalesce(_word(F.get(before, F.size(before) - 1)), F.lit("")))
-        seed = F.get(F.filter(spans, lambda s: (s["start"] < end) & (s["end"] > start)), F.lit(0))["kind"]
-        return F.struct(start.alias("start"), end.alias("end"), F.lower(F.substring(m["match"], head + 1, F.greatest(F.length(m["match"]) - head - tail, F.lit(0)))).alias("value"), pattern.alias("pattern"), seed.alias("seed"))
+        own = F.substring(m["match"], head + 1, F.greatest(F.length(m["match"]) - head - tail, F.lit(0)))
+        seed = F.get(F.filter(spans, lambda s: (s["start"] < end) & (s["end"] > start)), F.lit(0))
+
+        def row(seed: Column) -> Column:
+            whole = F.substring(text, (seed["start"] + 1).cast("int"), (seed["end"] - seed["start"]).cast("int"))
+            inner = F.coalesce(start > seed["start"], F.lit(False))
+            return F.struct(start.alias("start"), end.alias("end"), F.lower(F.coalesce(whole, own)).alias("value"), pattern.alias("pattern"), seed["kind"].alias("seed"), inner.alias("inner"))
+
+        return let(seed, row)
 
-    found = F.filter(F.transform(occurrences(text, CANDIDATE), mention), lambda m: (m["end"] > m["start"]) & (F.trim(m["pattern"]) != ""))
+    found = F.filter(F.transform(occurrences(text, CANDIDATE), mention), lambda m: (m["end"] > m["start"]) & ~m["inner"] & (F.trim(m["pattern"]) != ""))
     return F.when(text.rlike("[0-9@]"), found)
 
 
