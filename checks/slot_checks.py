@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import check
-from checks.tables import EVENTS_SQL, MONTH, events
+from checks.tables import EVENTS_SQL, MONTH, events, table
 from slotviews.operators.slots import Granularity, in_window, slot_frame, with_slot_columns
 from slotviews.session import scratch_path
-from slotviews.sources.slot_table import existing_slots, read_slots, read_window, slots_to_write, write_slots
+from slotviews.sources.slot_table import read_slots, read_window, slots_to_write, stored_slots, write_slots
 
 SLOT_SQL = """CAST(year(ts) AS INTEGER) AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day,
     strftime(ts, '%H') AS hour, lpad(CAST(minute(ts) // 15 * 15 AS VARCHAR), 2, '0') AS min"""
@@ -64,29 +64,18 @@ def slot_range_filter(spark, sf_dir):
     return slotted(spark, sf_dir).where(in_window("202401080630", "202401221745")).select("event_id")
 
 
-_written: dict[tuple[str, str], str] = {}
-
-
 def written(spark, sf_dir, label, fmt="parquet"):
     location = scratch_path(spark, label)
     write_slots(events(spark, sf_dir).select(*DATA), location, "epoch_ms", "acme", fmt, *MONTH)
     return location
 
 
-def written_once(spark, sf_dir):
-    """A slot table that the queries only read; written by the first that needs it."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _written:
-        _written[key] = written(spark, sf_dir, "slots")
-    return _written[key]
-
-
 ROUNDTRIP_SQL = f"""WITH e AS ({EVENTS_SQL})
     SELECT event_id, user_id, event_type, value, props, epoch_ms, 'acme' AS client, {SLOT_SQL} FROM e"""
 
 
 def _roundtrip(spark, sf_dir, fmt):
-    location = written_once(spark, sf_dir) if fmt == "parquet" else written(spark, sf_dir, f"roundtrip-{fmt}", fmt)
+    location = written(spark, sf_dir, f"roundtrip-{fmt}", fmt)
     return read_slots(spark, location, "acme", fmt, *MONTH, schema=DATA_SCHEMA, partition_columns=True)
 
 
@@ -105,9 +94,14 @@ def slot_roundtrip_json(spark, sf_dir):
     return _roundtrip(spark, sf_dir, "json")
 
 
-@check(ROUNDTRIP_SQL)
+@check("SELECT doc_id, 1704067200000 + doc_id % 96 * 900000 AS at, text, lang, n_chars FROM documents")
 def slot_roundtrip_csv(spark, sf_dir):
-    return _roundtrip(spark, sf_dir, "csv")
+    """Whole texts, with line ends and quotes, over one day of slots."""
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", (F.lit(1704067200000) + F.col("doc_id") % 96 * 900000).alias("at"), "text", "lang", "n_chars")
+    location, day = scratch_path(spark, "roundtrip-csv"), ("202401010000", "202401020000")
+    write_slots(rows, location, "at", "acme", "csv", *day)
+    return read_slots(spark, location, "acme", "csv", *day, schema=rows.schema)
 
 
 @check(
@@ -115,7 +109,7 @@ def slot_roundtrip_csv(spark, sf_dir):
     WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-22'"""
 )
 def slot_window_pruned(spark, sf_dir):
-    rows = read_window(spark, written_once(spark, sf_dir), "parquet", "acme", *HALF, schema=DATA_SCHEMA)
+    rows = read_window(spark, written(spark, sf_dir, "pruned"), "parquet", "acme", *HALF, schema=DATA_SCHEMA)
     return rows.select("event_id", "month", "day", "hour", "min")
 
 
@@ -144,6 +138,5 @@ def window_append_outside(spark, sf_dir):
 
 @check(f"SELECT DISTINCT strftime(ts, '%Y%m%d%H') || lpad(CAST(minute(ts) // 15 * 15 AS VARCHAR), 2, '0') AS slot FROM events")
 def slots_existing(spark, sf_dir):
-    folders = existing_slots(spark, written_once(spark, sf_dir), "acme", *MONTH)
-    digits = F.regexp_replace("value", "[^0-9]", "").alias("slot")
-    return spark.createDataFrame([(folder,) for folder in folders], "value string").select(digits)
+    found = stored_slots(spark, written(spark, sf_dir, "existing"), "parquet", "acme", *MONTH)
+    return found.select(F.concat(F.col("year").cast("string"), "month", "day", "hour", "min").alias("slot"))

@@ -152,9 +152,11 @@ def in_window(start, end, columns: tuple[str, ...] = SLOT_COLUMNS) -> Column:
 
     Only the raw partition columns are compared, never a value computed from
     several of them, so Spark can prune partitions by it. The leading test on the
-    year alone also lets metastore-backed tables prune.
+    year alone also lets metastore-backed tables prune. The start slot is always part of
+    the window, as in ``window_steps``.
     """
     first, last = check_window(start, end)
+    last = max(last, first + Granularity.FIFTEEN_MIN.value)
 
     def bound(moment: datetime, strict) -> Column:
         values = [moment.year, f"{moment:%m}", f"{moment:%d}", f"{moment:%H}", f"{moment:%M}"]

@@ -10,7 +10,6 @@ from __future__ import annotations
 import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterable
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +35,8 @@ from slotviews.sources.files import Files
 MARKER = "_SUCCESS"
 WRITABLE = ("json", "csv", "parquet", "orc")
 _SLOT_PATTERN = "year=*/month=*/day=*/hour=*/min=*"
+# what makes any text come back as it was: line ends, quotes and spaces at its ends
+_CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def table_location(root: str, uri: str, view: str) -> str:
@@ -69,6 +70,16 @@ def existing_slots(spark: SparkSession, location: str, client: str, start, end)
     return slots_below(Files(spark, location), f"{location}/client={client}", start, end)
 
 
+def stored_slots(spark: SparkSession, location: str, fmt: str, client: str, start, end) -> DataFrame:
+    """Stored slots of the window as rows of the slot columns, from the partitions alone.
+
+    The listing is Spark's own and the window prunes it; no data file is opened.
+    """
+    fields = _with_partition_fields(T.StructType([]))
+    rows = spark.read.format(stored_format(fmt)).schema(fields).load(location)
+    return rows.where((F.col("client") == client) & in_window(start, end)).select(*SLOT_COLUMNS).distinct()
+
+
 def covering_folders(found: Iterable[str], start, end) -> list[str]:
     """The slots found in a window as few folders: whole days and hours where possible.
 
@@ -108,7 +119,10 @@ def write_slots(
 
     Rows are written once, to a staging folder beside the target, with a REBALANCE on
     the slot: a slot's rows meet in one task, and a slot with most of the rows is split
-    over several. The staged folders are then renamed from the driver, slot by slot.
+    over several. Complete with markers, the staged folders are then renamed from the
+    driver: whole days and hours where nothing else is there to stay, else single slots.
+    This needs a file system with folders that are renamed in one step, such as HDFS or
+    an object store with a hierarchical namespace; a flat object store would copy them.
     """
     if epoch_column not in df.columns:
         raise WriteError(f"no time column {epoch_column} to derive slots from")
@@ -120,38 +134,22 @@ def write_slots(
     rows = fill_blank(encode_names(ensure_client(df, client)))
     rows = with_slot_columns(rows, encode_name(epoch_column))
     if bounded and outside == "drop":
-        rows = rows.where(in_window(start, end))
+        # rows without a valid time are nobody's to drop: they are refused below
+        rows = rows.where(in_window(start, end) | F.col(SLOT_COLUMNS[0]).isNull())
     rows = rows.hint("rebalance", *SLOT_COLUMNS)
 
     staging = f"{location}/_staging/{uuid.uuid4().hex}"
     writer = rows.write.format(fmt).partitionBy("client", *SLOT_COLUMNS)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(**_CSV)
     files = Files(spark, location)
     try:
-        with _every_partition(spark):
-            writer.save(staging)
+        writer.save(staging)
         return _publish(spark, files, staging, location, client, start, end, outside)
     finally:
         files.delete(staging)
 
 
-@contextmanager
-def _every_partition(spark: SparkSession):
-    """One task per shuffle partition while a slot write runs.
-
-    A slot is in one shuffle partition, unless it is split for its size. Coalescing
-    partitions would not save a file, it would only let fewer tasks open them.
-    """
-    name = "spark.sql.adaptive.coalescePartitions.enabled"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def _publish(spark, files: Files, staging: str, location: str, client: str, start, end, outside: str) -> list[str]:
     clients = {path.rsplit("client=", 1)[1] for path in files.glob(f"{staging}/client=*")}
     if clients - {client}:
@@ -169,25 +167,57 @@ def _publish(spark, files: Files, staging: str, location: str, client: str, star
             raise WriteError(f"{len(beyond)} slots outside the window, first {beyond[0]}")
 
     target = f"{location}/client={client}"
+    # no slot that changes may look complete while it does, whether in the window or not
+    touched = set(stored) | set(staged)
+    files.each(lambda folder: files.delete(f"{target}/{folder}/{MARKER}"), sorted(touched))
+    files.each(lambda path: files.touch(f"{path}/{MARKER}"), staged.values())
+
+    units = _units(files, target, staged, window)
+    files.each(files.mkdirs, sorted({f"{target}/{unit}".rsplit("/", 1)[0] for unit in units}))
 
-    def publish(folder: str) -> None:
-        final = f"{target}/{folder}"
-        if folder in stored:
+    def publish(unit: str) -> None:
+        source, final = f"{staging}/client={client}/{unit}", f"{target}/{unit}"
+        if units[unit]:
             files.delete(final)
-        if folder in window or not files.exists(final):
-            _move(files, staged[folder], final)
-        else:
-            for child in files.children(staged[folder]):
+            _move(files, source, final)
+        else:  # rows are added to a slot; its marker comes last
+            for child in sorted(files.children(source), key=lambda path: path.endswith(MARKER)):
                 _move(files, child, f"{final}/{child.rsplit('/', 1)[1]}")
 
-    files.each(lambda path: files.delete(f"{path}/{MARKER}"), stored.values())
-    files.each(files.mkdirs, sorted({f"{target}/{folder}".rsplit("/", 1)[0] for folder in staged}))
-    files.each(publish, staged)
-    files.each(files.delete, [path for folder, path in stored.items() if folder not in staged])
-    files.each(lambda folder: files.touch(f"{target}/{folder}/{MARKER}"), staged)
+    files.each(publish, units)
+    gone = [path for folder, path in stored.items() if folder not in staged and not any(unit in units for unit in _above(folder))]
+    files.each(files.delete, gone)
     return sorted(staged)
 
 
+def _above(folder: str) -> tuple[str, str, str]:
+    """A slot's day, its hour and itself."""
+    hour = folder.rsplit("/", 1)[0]
+    return hour.rsplit("/", 1)[0], hour, folder
+
+
+def _units(files: Files, target: str, staged: Iterable[str], window: set[str]) -> dict[str, bool]:
+    """What is renamed at once, and whether it takes the place of what is there.
+
+    A day or an hour moves whole if the target has none or the window holds all of it.
+    A slot outside the window that is there already is added to.
+    """
+    whole = {}
+    for level, size in ((0, 96), (1, 4), (2, 1)):
+        counts = Counter(_above(folder)[level] for folder in window)
+        whole |= {unit: True for unit, n in counts.items() if n == size}
+    units, left = {}, set(staged)
+    for level in range(3):
+        candidates = sorted({_above(folder)[level] for folder in left} - set(whole))
+        absent = {unit for unit, there in zip(candidates, files.each(lambda unit: files.exists(f"{target}/{unit}"), candidates)) if not there}
+        for folder in sorted(left):
+            unit = _above(folder)[level]
+            if unit in whole or unit in absent or level == 2:
+                units[unit] = unit in whole or unit in absent
+                left.discard(folder)
+    return units
+
+
 def _move(files: Files, source: str, target: str) -> None:
     if not files.rename(source, target):
         raise WriteError(f"cannot move {source} to {target}")
@@ -203,19 +233,23 @@ def read_slots(
     schema: T.StructType | str | None = None,
     require_all: bool = False,
     partition_columns: bool = False,
+    found: dict[str, str] | None = None,
 ) -> DataFrame:
     """Rows of the stored slots of ``[start, end)``; every slot must be complete.
 
-    Only the window's folders are listed, so the cost of planning does not depend on
+    Only the window's folders are listed (``found`` passes on a listing that was made),
+    with one more listing a day for the markers, so the cost of planning does not depend on
     how much history the table has. A ``schema`` (of the stored data columns) saves
     the inference pass of JSON. ``require_all`` also refuses gaps in the window.
     """
-    found = existing_slots(spark, location, client, start, end)
+    found = existing_slots(spark, location, client, start, end) if found is None else found
     if not found:
         raise ReadError(f"no slots stored in {location} for {client} in [{start}, {end})")
     files = Files(spark, location)
-    marked = files.each(lambda path: files.exists(f"{path}/{MARKER}"), found.values())
-    open_slots = [folder for folder, complete in zip(found, marked) if not complete]
+    days = sorted({_above(folder)[0] for folder in found})
+    marked = files.each(lambda day: files.glob(f"{location}/client={client}/{day}/hour=*/min=*/{MARKER}"), days)
+    complete = {"/".join(path.split("/")[-6:-1]) for paths in marked for path in paths}
+    open_slots = [folder for folder in found if folder not in complete]
     if open_slots:
         raise ReadError(f"{len(open_slots)} slots are not complete, first {open_slots[0]}")
     if require_all and len(found) < len(window_steps(start, end)):
@@ -223,7 +257,7 @@ def read_slots(
 
     reader = spark.read.format(stored_format(fmt)).option("basePath", location)
     if stored_format(fmt) == "csv":
-        reader = reader.option("header", True)
+        reader = reader.options(**_CSV, multiLine=True)
     if schema is not None:
         reader = reader.schema(_with_partition_fields(schema))
     rows = reader.load([f"{location}/client={client}/{folder}" for folder in covering_folders(found, start, end)])
@@ -255,7 +289,9 @@ def read_window(
     For tables that are listed once and then read for many windows: Spark prunes the
     partitions by the predicate. Keeps the slot columns, month to min as text.
     """
-    reader = spark.read.format(stored_format(fmt)).option("header", True)
+    reader = spark.read.format(stored_format(fmt))
+    if stored_format(fmt) == "csv":
+        reader = reader.options(**_CSV, multiLine=True)
     if schema is None:
         known = decode_names(reader.load(location).drop("client", *SLOT_COLUMNS))
         schema = known.schema

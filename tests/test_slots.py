@@ -7,19 +7,19 @@ from slotviews.errors import SpecError
 from slotviews.operators import slots
 from slotviews.operators.slots import Granularity
 
-TIMES = ["1513676394000", "1513676394000", "1513745000000", "1513745780000", "1513743380000", "1513743380000"]
+TIMES = ["1622704805000", "1622704805000", "1622806260000", "1622807410000", "1622804699000", "1622804699000"]
 
 
 def test_slot_columns_of_text_times(spark):
-    df = spark.createDataFrame([(t,) for t in TIMES + ["x", None, "-1"]], "epochTime string")
-    rows = slots.with_slot_columns(df, "epochTime").collect()
+    df = spark.createDataFrame([(t,) for t in TIMES + ["x", None, "-1"]], "at_ms string")
+    rows = slots.with_slot_columns(df, "at_ms").collect()
     assert [tuple(row)[1:] for row in rows] == [
-        (2017, "12", "19", "09", "30"),
-        (2017, "12", "19", "09", "30"),
-        (2017, "12", "20", "04", "30"),
-        (2017, "12", "20", "04", "45"),
-        (2017, "12", "20", "04", "15"),
-        (2017, "12", "20", "04", "15"),
+        (2021, "06", "03", "07", "15"),
+        (2021, "06", "03", "07", "15"),
+        (2021, "06", "04", "11", "30"),
+        (2021, "06", "04", "11", "45"),
+        (2021, "06", "04", "11", "00"),
+        (2021, "06", "04", "11", "00"),
         (None,) * 5,
         (None,) * 5,
         (1969, "12", "31", "23", "45"),
@@ -29,41 +29,41 @@ def test_slot_columns_of_text_times(spark):
 def test_slot_columns_ignore_the_session_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
     try:
-        df = slots.with_slot_columns(spark.createDataFrame([(1513676394000,)], "t bigint"), "t")
-        assert tuple(df.first())[1:] == (2017, "12", "19", "09", "30")
+        df = slots.with_slot_columns(spark.createDataFrame([(1622704805000,)], "t bigint"), "t")
+        assert tuple(df.first())[1:] == (2021, "06", "03", "07", "15")
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_hourly_folders_glob_over_quarters():
-    folders = slots.window_folders("201710100000", "201710110000", Granularity.HOUR)
+    folders = slots.window_folders("202305070000", "202305080000", Granularity.HOUR)
     assert len(folders) == 24
-    assert folders[0] == "year=2017/month=10/day=10/hour=00/min=*"
-    assert folders[-1] == "year=2017/month=10/day=10/hour=23/min=*"
+    assert folders[0] == "year=2023/month=05/day=07/hour=00/min=*"
+    assert folders[-1] == "year=2023/month=05/day=07/hour=23/min=*"
 
 
 def test_quarter_folders():
-    folders = slots.window_folders("201710100030", "201710110015")
+    folders = slots.window_folders("202305070030", "202305080015")
     assert len(folders) == 95
-    assert folders[0] == "year=2017/month=10/day=10/hour=00/min=30"
-    assert folders[-1] == "year=2017/month=10/day=11/hour=00/min=00"
+    assert folders[0] == "year=2023/month=05/day=07/hour=00/min=30"
+    assert folders[-1] == "year=2023/month=05/day=08/hour=00/min=00"
 
 
 def test_empty_window_still_has_its_start():
-    assert slots.window_steps("201710100030", "201710100030") == [datetime(2017, 10, 10, 0, 30)]
+    assert slots.window_steps("202305070030", "202305070030") == [datetime(2023, 5, 7, 0, 30)]
 
 
 def test_day_buckets_cover_every_day_touched():
     pattern = "<yyyy-mm-dd>/*/*"
-    assert slots.day_bucket_folders(pattern, "201802260000", "201802280000") == ["2018-02-26/*/*", "2018-02-27/*/*"]
-    assert slots.day_bucket_folders(pattern, "201802261200", "201802280600") == [
-        "2018-02-26/*/*",
-        "2018-02-27/*/*",
-        "2018-02-28/*/*",
+    assert slots.day_bucket_folders(pattern, "202302270000", "202303010000") == ["2023-02-27/*/*", "2023-02-28/*/*"]
+    assert slots.day_bucket_folders(pattern, "202302271200", "202303010600") == [
+        "2023-02-27/*/*",
+        "2023-02-28/*/*",
+        "2023-03-01/*/*",
     ]
 
 
-@pytest.mark.parametrize("bad", ["20171010", "201710100007", "201713100000", None, "20171010000x"])
+@pytest.mark.parametrize("bad", ["20230507", "202305070007", "201713100000", None, "20230507000x"])
 def test_bad_slot_ids(bad):
     with pytest.raises(SpecError):
         slots.parse_slot(bad)
@@ -71,7 +71,7 @@ def test_bad_slot_ids(bad):
 
 def test_window_must_not_be_reversed():
     with pytest.raises(SpecError):
-        slots.check_window("201710110000", "201710100000")
+        slots.check_window("202305080000", "202305070000")
 
 
 @pytest.mark.parametrize(
@@ -83,7 +83,7 @@ def test_range_predicate_equals_time_comparison(spark, start, end):
     rows = spark.range(first - 20 * slots.SLOT_MS, last + 20 * slots.SLOT_MS, slots.SLOT_MS).withColumnRenamed("id", "t")
     rows = slots.with_slot_columns(rows, "t")
     found = {row.t for row in rows.where(slots.in_window(start, end)).collect()}
-    assert found == set(range(first, last, slots.SLOT_MS))
+    assert found == set(range(first, max(last, first + 1), slots.SLOT_MS))  # the start slot is always in
 
 
 def test_slot_frame_matches_steps(spark):
