@@ -95,26 +95,27 @@ def _lines(rows, payload, path):
 def encrypted_lines(spark, sf_dir):
     path = scratch_path(spark, "lines")
     _lines(table(spark, sf_dir, "conversations"), F.to_json(F.struct("conv_id", "turn", "role", "text")), path)
-    seed = json.dumps({"conv_id": 0, "turn": 0, "role": "", "text": ""})
-    return read_encrypted_json(spark, [path], {"container": "text", "key": KEY, "seed": seed, "infer": False})
+    return read_encrypted_json(spark, [path], {"container": "text", "key": KEY}).select("conv_id", "turn", "role", "text")
 
 
-@check(TURN_SQL)
+@check("""SELECT conv_id, turn, role, text || chr(10) || '<b class="x">&amp;</b>]]>' AS text FROM conversations""")
 def xml_transcripts(spark, sf_dir):
     path = scratch_path(spark, "xml")
     rows = table(spark, sf_dir, "conversations")
-    # the base64 text keeps markup and line ends of a turn out of the XML
+    # markup, quotes and line ends of a turn are escaped, so the reader has entities to resolve
+    told = F.concat("text", F.lit('\n<b class="x">&amp;</b>]]>'))
+    for sign, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        told = F.replace(told, F.lit(sign), F.lit(entity))
     body = F.concat(
         *[part for name in ("conv_id", "turn", "role") for part in (F.lit(f"<{name}>"), F.col(name).cast("string"), F.lit(f"</{name}>"))],
         F.lit("<text>"),
-        F.base64(F.encode("text", "UTF-8")),
+        told,
         F.lit("</text>"),
     )
     _lines(rows, F.concat(F.lit("<transcript>"), body, F.lit("</transcript>")), path)
     schema = "conv_id bigint, turn bigint, role string, text string"
     conf = {"container": "text", "key": KEY, "schema": schema, "root": "transcript"}
-    read = read_encrypted_xml(spark, [path], conf).select("transcript.*")
-    return read.withColumn("text", F.decode(F.unbase64("text"), "UTF-8"))
+    return read_encrypted_xml(spark, [path], conf).select("transcript.*")
 
 
 @check("SELECT c_custkey, c_name, c_acctbal, c_mktsegment, 1 AS hidden FROM customer")

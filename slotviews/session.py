@@ -16,6 +16,8 @@ SETTINGS = {
     # splits a hot slot's partition before a slot write (REBALANCE hint)
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # keeps keys of the cipher functions out of plans, the UI and event logs
+    "spark.sql.redaction.string.regex": r"(?i)aes_?(?:en|de)crypt[^\n]*",
 }
 
 

@@ -45,29 +45,33 @@ def schema_of_sample(spark: SparkSession, sample: str) -> T.StructType:
 def json_records(lines: DataFrame, conf: Conf) -> DataFrame:
     """JSON text in the single column ``value`` as columns.
 
-    With a schema, or a seed and ``infer = False``, the text is parsed in one pass;
-    otherwise the data is read once more to infer the schema (``sampling`` gives the
-    share of records to look at), and a seed's missing fields are added.
+    With a schema the text is parsed in one pass; otherwise all of it is read once more to
+    infer the schema, and a seed's missing fields are added. A record that is no JSON, or
+    does not fit the schema, is an error; ``mode = PERMISSIVE`` makes it a row of nulls.
     """
     spark = lines.sparkSession
     schema = conf.get("schema")
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     if schema is None:
-        seed = schema_of_sample(spark, conf["seed"]) if conf.get("seed") else None
-        if seed is not None and conf.get("infer", True) is False:
-            schema = seed
-        else:
-            sampled = spark.read.json(lines.rdd.map(lambda row: row[0]), samplingRatio=conf.get("sampling", 1.0))
-            schema = sampled.schema if seed is None else merge_schemas(sampled.schema, seed)
-    return lines.select(F.from_json("value", schema).alias("record")).select("record.*")
+        schema = spark.read.option("mode", _mode(conf)).json(lines.rdd.map(lambda row: row[0])).schema
+        if conf.get("seed"):
+            schema = merge_schemas(schema, schema_of_sample(spark, conf["seed"]))
+    return lines.select(F.from_json("value", schema, {"mode": _mode(conf)}).alias("record")).select("record.*")
+
+
+def _mode(conf: Conf) -> str:
+    return conf.get("mode", "FAILFAST")
 
 
 def xml_records(lines: DataFrame, conf: Conf) -> DataFrame:
-    """XML text in the single column ``value`` as one struct named like its root."""
+    """XML text in the single column ``value`` as one struct named like its root.
+
+    Broken records are errors, as for JSON.
+    """
     if not conf.get("schema") or not conf.get("root"):
         raise SpecError("XML records need a schema and the name of their root element")
-    return lines.select(F.from_xml("value", conf["schema"]).alias(conf["root"]))
+    return lines.select(F.from_xml("value", conf["schema"], {"mode": _mode(conf)}).alias(conf["root"]))
 
 
 def _sequence_pairs(spark: SparkSession, paths: Sequence[str]):
@@ -135,7 +139,8 @@ def read_sequence_json_fixed(spark: SparkSession, paths: Sequence[str], conf: Co
     """SequenceFile of JSON texts with an explicit schema or the schema of a sample."""
     if conf.get("schema") is None and not conf.get("seed"):
         raise SpecError("this format needs a schema or a seed record")
-    return json_records(sequence_values(spark, paths), {**conf, "infer": False})
+    schema = conf.get("schema") or schema_of_sample(spark, conf["seed"])
+    return json_records(sequence_values(spark, paths), {**conf, "schema": schema})
 
 
 def _log_lines(spark: SparkSession, paths: Sequence[str], conf: Conf) -> DataFrame:
@@ -145,8 +150,13 @@ def _log_lines(spark: SparkSession, paths: Sequence[str], conf: Conf) -> DataFra
 
 
 def encrypted_payloads(lines: DataFrame, key: str) -> DataFrame:
-    """``<prefix> - <base64 cipher text>`` lines to plain text, all in the JVM."""
-    return lines.select(decrypt(log_payload(F.col("value")), key).alias("value"))
+    """``<prefix> - <base64 cipher text>`` lines to plain text, all in the JVM.
+
+    A line without the separator is an error.
+    """
+    payload = log_payload(F.col("value"))
+    broken = F.raise_error(F.lit("a log line has no payload"))
+    return lines.select(decrypt(F.when(payload.isNotNull() | F.col("value").isNull(), payload).otherwise(broken), key).alias("value"))
 
 
 def read_encrypted_json(spark: SparkSession, paths: Sequence[str], conf: Conf) -> DataFrame:

@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 from tests.conftest import rows_of
 
 from slotviews.errors import ReadError, SpecError
-from slotviews.functions.crypto import encrypt
+from slotviews.functions.crypto import decrypt, encrypt
+from slotviews.functions.scalars import register_functions
+from slotviews.session import SETTINGS
 from slotviews.sources.metrics import RUN_SCHEMA, append_metrics, run_metrics
-from slotviews.sources.readers import merge_schemas, reader_of, schema_of_sample
+from slotviews.sources.readers import encrypted_payloads, json_records, merge_schemas, reader_of, schema_of_sample
 
 KEY = "0123456789abcdef"
 
@@ -60,6 +62,33 @@ def test_encrypted_xml(spark, tmp_path):
         reader_of("ASSIST_TRANSCRIPTS")(spark, [f"{tmp_path}/x"], {"container": "text", "key": KEY})
 
 
+def test_rare_fields_and_broken_records_survive_or_raise(spark, tmp_path):
+    records = [json.dumps({"id": i}) for i in range(500)] + [json.dumps({"id": 500, "rare": "x"})]
+    lines = spark.createDataFrame([(r,) for r in records], "value string")
+    assert json_records(lines, {}).where("rare = 'x'").count() == 1
+    for broken in ("{not json", '{"id": "text"}'):
+        bad = spark.createDataFrame([('{"id": 1}',), (broken,)], "value string")
+        with pytest.raises(Exception):
+            json_records(bad, {"schema": "id bigint"}).collect()
+    assert json_records(bad, {"schema": "id bigint", "mode": "PERMISSIVE"}).count() == 2
+    with pytest.raises(Exception, match="payload"):
+        encrypted_payloads(spark.createDataFrame([("no separator",)], "value string"), KEY).collect()
+    assert encrypted_payloads(spark.createDataFrame([(None,)], "value string"), KEY).first()[0] is None
+
+
+def test_no_plan_shows_the_key(spark):
+    spark.conf.set("spark.sql.redaction.string.regex", SETTINGS["spark.sql.redaction.string.regex"])
+    try:
+        register_functions(spark, KEY)
+        df = spark.range(3).selectExpr("encrypt(cast(id as string)) AS c").select(decrypt(F.col("c"), KEY).alias("p"), "c")
+        for mode in ("simple", "extended", "formatted"):
+            text = spark.sparkContext._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
+            assert KEY not in text and KEY.encode().hex() not in text.lower() and "redacted" in text
+        assert rows_of(df.select("p")) == [("0",), ("1",), ("2",)]
+    finally:
+        spark.conf.unset("spark.sql.redaction.string.regex")
+
+
 def test_binary_frames(spark, tmp_path):
     spark.sparkContext.parallelize([("k", bytearray(b"\x04\x00\x01"))]).saveAsSequenceFile(f"{tmp_path}/b")
     assert bytes(reader_of("SESSIONIZED_BINLOG")(spark, [f"{tmp_path}/b"], {}).first().frame) == b"\x04\x00\x01"
