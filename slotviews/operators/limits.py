@@ -16,14 +16,15 @@ def first_n_per_group(
 
     Spark drops all but ``n`` rows per group and task before the shuffle, but a group
     present in every task would still send n rows per task to a single reducer. The
-    group is therefore ranked in ``splits`` parts first; the second ranking sees at
-    most ``splits * n`` rows per group.
+    group is therefore ranked in ``splits`` parts first, a task's rows all in one of them,
+    so ``n`` rows per group leave a task; the second ranking sees at most ``splits * n``
+    rows per group. The order should be total: then the parts do not show in the result.
     """
     part, rank = "__part", "__rank"
     in_part = W.partitionBy(*group, part).orderBy(*order)
     in_group = W.partitionBy(*group).orderBy(*order)
     return (
-        df.withColumn(part, F.pmod(F.xxhash64(*order), F.lit(splits)))
+        df.withColumn(part, F.spark_partition_id() % splits)
         .withColumn(rank, F.row_number().over(in_part))
         .where(F.col(rank) <= n)
         .withColumn(rank, F.row_number().over(in_group))

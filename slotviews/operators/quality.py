@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -16,6 +15,7 @@ from slotviews.operators.dedup import latest_by
 from slotviews.operators.limits import first_n_per_group
 from slotviews.operators.slots import check_window
 
+# fixed values: column names that readers of the reports rely on
 VIOLATION_SCHEMA = (
     "jobId string, view_id string, client string, dq_data_set_id string, rule_id string, "
     "rule_name string, record_id string, data_segment_time_start string, "
@@ -69,13 +69,20 @@ class Run:
 # --- rule checks ---------------------------------------------------------------
 
 
+def has_subquery(spark: SparkSession, predicate: str) -> bool:
+    """Whether the parsed predicate holds a query, whatever its names and literals say."""
+    parsed = spark._jsparkSession.sessionState().sqlParser().parseExpression(predicate)
+    return spark._jvm.org.apache.spark.sql.catalyst.expressions.SubqueryExpression.hasSubquery(parsed)
+
+
 def violated_rules(df: DataFrame, rules: Sequence[Rule], record_id: str) -> DataFrame:
     """(rule_id, rule_name, record_id) per violation, all rules in one pass.
 
     A null predicate is no violation. Rules with a subquery cannot be evaluated in a
-    projection and run as a filter of their own.
+    projection and run as a filter of their own; write them with ``[NOT] EXISTS``, which
+    joins on keys, where ``NOT IN`` has to send its whole list to every task.
     """
-    plain = [rule for rule in rules if not re.search(r"\bselect\b", rule.sql, re.IGNORECASE)]
+    plain = [rule for rule in rules if not has_subquery(df.sparkSession, rule.sql)]
     branches = []
     if plain:
         # clean rows, usually most, go no further than the scan
@@ -182,7 +189,8 @@ def export_report(result: RuleResult, location: str, index_path: str, summary_pa
         parts = ("dq_data_set_id", "rule_id")
         result.frame.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).json(detail)
         stored = spark.read.schema(VIOLATION_SCHEMA).json(detail)
-        capped_violations(stored, n).write.mode("append").parquet(index_path)
+        # by job, so that a rerun replaces its sample
+        capped_violations(stored, n).write.mode("overwrite").parquet(f"{index_path}/job={run.job_id}")
         append_status(violation_summary(stored, run), summary_path)
     except Exception as error:
         raise ExportError(f"cannot store the quality report of {run.view}: {error}") from error
@@ -192,6 +200,7 @@ def export_report(result: RuleResult, location: str, index_path: str, summary_pa
 # --- run status ----------------------------------------------------------------
 
 STATUSES = ("In progress", "ERROR", "NA", "PASS", "FAIL")
+# fixed values: column names of the stored summary
 SUMMARY_SCHEMA = (
     "JobId string, View string, Client string, DataSegmentStart string, DataSegmentEnd string, "
     "ErrorCount bigint, DQStatus string, DQEvaluationTime string, updated_at timestamp"
@@ -272,6 +281,7 @@ def test_rows(df: DataFrame, test_set: TestSet) -> DataFrame:
 
 test_rows.__test__ = False
 
+# fixed values: column names of row-test results
 ROW_RESULT_SCHEMA = (
     "table string, client string, testDataSet string, testDataSetSQL string, startTime date, endTime date, "
     "rowData string, result struct<dqPass: boolean, tests: array<struct<testDateSetName: string, testName: string, "
@@ -283,7 +293,7 @@ def run_row_tests(spark: SparkSession, test_sets: Sequence[TestSet], table: str,
     """Every row of every test set with its outcome.
 
     Each set's rows are also registered as the view ``DQResult_<table>_<set>``. The
-    views the queries name must be in scope already.
+    views the queries name must be in scope; ``Workspace.bring`` puts them there.
     """
     first, last = check_window(start, end)
     found = None

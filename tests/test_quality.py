@@ -6,6 +6,7 @@ from pyspark.sql.types import StructType
 from tests.conftest import plan_of, rows_of
 
 from slotviews.errors import NoQualityDefinition, QualityError, SpecError
+from slotviews.operators.limits import first_n_per_group
 from slotviews.operators.quality import (
     VIOLATION_SCHEMA,
     Metric,
@@ -16,11 +17,13 @@ from slotviews.operators.quality import (
     TestSet,
     check_rules,
     export_report,
+    has_subquery,
     latest_status,
     metric_frame,
     run_row_tests,
     set_status,
     verdicts,
+    violated_rules,
 )
 
 RUN = Run("job", "V", "acme", "202401010000", "202401020015")
@@ -109,3 +112,36 @@ def test_metric(spark, visits):
     assert metric_frame(spark, metric).columns == ["channel", "cnt"]
     with pytest.raises(SpecError):
         metric_frame(spark, Metric("m", "SELECT 1 AS a", ("a",), ("b",)))
+
+
+def test_rules_plan_without_forced_broadcasts(spark, visits):
+    spark.createDataFrame([(1,), (3,)], "known int").createOrReplaceTempView("known_ids")
+    found = violated_rules(
+        spark.table("visits"),
+        [Rule("a", "unknown", "NOT EXISTS (SELECT 1 FROM known_ids WHERE known = id)"), Rule("b", "word", "channel = 'select'"), Rule("c", "big", "n > 40")],
+        "id",
+    )
+    assert [has_subquery(spark, sql) for sql in ("a = 'select'", "a IN (SELECT 1)", "a > (select max(b) from t)", "`select` > 1")] == [False, True, True, False]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert rows_of(found.select("rule_id", "record_id")) == [("a", "2"), ("a", "4"), ("c", "3"), ("c", "4")]
+        assert "Broadcast" not in plan_of(found.select("rule_id"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_task_sends_no_more_than_the_cap(spark):
+    rows = spark.range(0, 4000, 1, 8).selectExpr("id % 2 AS rule", "id")
+    first = first_n_per_group(rows, ["rule"], ["id"], 5)
+    assert rows_of(first) == sorted((i % 2, i) for i in range(10))
+    assert "WindowGroupLimit" in plan_of(first)
+    salted = rows.selectExpr("rule", "spark_partition_id() % 64 AS part").distinct().groupBy("part").count()
+    assert salted.count() == 8  # one part for each task
+
+
+def test_a_rerun_replaces_its_sample(spark, tmp_path, visits):
+    found, place = check_rules(spark, [rules(("all", "id > 0"))], RUN), str(tmp_path)
+    for _ in range(2):
+        export_report(found, f"{place}/d", f"{place}/i", f"{place}/s", n=3)
+    assert spark.read.parquet(f"{place}/i").count() == 3
