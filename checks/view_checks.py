@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import timedelta
 
 from pyspark.sql import functions as F
 
 from checks.registry import check
 from checks.tables import EVENTS_SQL, MONTH, events
+from slotviews.operators.quality import Rule, RuleSet, latest_status
 from slotviews.operators.slots import SLOT_COLUMNS, with_slot_columns
+from slotviews.plans.runs import Reports, run_view
 from slotviews.plans.specs import ColumnSpec, Import, ViewSpec
 from slotviews.plans.views import Workspace
 from slotviews.session import scratch_path
+from slotviews.sources.metrics import RUN_SCHEMA
 
 KEY = "0123456789abcdef"
 _roots: dict[tuple[str, str], str] = {}
@@ -23,7 +27,7 @@ def workspace(spark, sf_dir) -> Workspace:
     if key not in _roots:
         root = scratch_path(spark, "workspace")
         rows = with_slot_columns(events(spark, sf_dir).drop("ts"), "epoch_ms")
-        rows.repartition(spark.sparkContext.defaultParallelism, *SLOT_COLUMNS).write.partitionBy(*SLOT_COLUMNS).parquet(f"{root}/raw/acme/events")
+        rows.hint("rebalance", *SLOT_COLUMNS).write.partitionBy(*SLOT_COLUMNS).parquet(f"{root}/raw/acme/events")
         _roots[key] = root
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return Workspace(spark, _roots[key], KEY)
@@ -98,8 +102,8 @@ def prefer_materialized(spark, sf_dir):
     space = workspace(spark, sf_dir)
     child = space.use(PURCHASES, "acme", *MONTH)
     child.write()
-    cipher = spark.read.parquet(f"{space.location(PURCHASES)}/client=acme").where("visitor NOT LIKE 'user-%'")
-    hidden = cipher.agg((F.count("*") > 0).alias("hidden"))
+    cipher = spark.read.parquet(f"{space.location(PURCHASES)}/client=acme")
+    hidden = cipher.agg(F.bool_and(F.expr("visitor NOT LIKE 'user-%' AND try_cast(value AS double) IS NULL")).alias("hidden"))
     text = "SELECT visitor, count(*) AS n, max(value) AS highest FROM Purchases GROUP BY visitor"
     parent = view("Spenders", [("Spenders", text)], [Import(PURCHASES)], prefer_materialized=True)
     return space.use(parent, "acme", *MONTH).df().crossJoin(F.broadcast(hidden))
@@ -202,3 +206,31 @@ def page_load_view(spark, sf_dir):
 def dedup_on_load(spark, sf_dir):
     spec = ViewSpec("RawEvents", "/raw/%s/events", "PARQUET", materialize=False, dedup_keys=("user_id", "event_type"))
     return run(spark, sf_dir, spec).df().select("user_id", "event_type")
+
+
+SPENT_SQL = """purchases AS (SELECT event_id, user_id, value FROM events WHERE event_type = 'purchase'),
+    hits AS (SELECT event_id FROM purchases WHERE value > 80)"""
+
+
+@check(
+    f"""WITH {SPENT_SQL}, kept AS (SELECT event_id::VARCHAR AS record_id FROM hits ORDER BY event_id::VARCHAR LIMIT 100)
+    SELECT 'failing' AS job, CASE WHEN (SELECT count(*) FROM hits) > 0 THEN 'FAIL' ELSE 'PASS' END AS status,
+      (SELECT count(*) FROM hits) AS errors, (SELECT count(*) FROM kept) AS sampled, (SELECT min(record_id) FROM kept) AS least,
+      (SELECT max(record_id) FROM kept) AS greatest, 'Purchases' AS view, (SELECT count(*) FROM purchases) AS stored
+    UNION ALL SELECT 'passing', 'PASS', 0, 0, NULL, NULL, 'Purchases', count(*) FROM purchases
+    UNION ALL SELECT 'unchecked', 'NA', NULL, 0, NULL, NULL, 'Purchases', count(*) FROM purchases"""
+)
+def view_run(spark, sf_dir):
+    """Three runs of one view: rules that fail, rules that pass, and no checks."""
+    space, place = workspace(spark, sf_dir), scratch_path(spark, "runs")
+    reports, checked = Reports.below(place), replace(PURCHASES, dq_enabled=True)
+    for job, spec, rule in (("failing", checked, "value > 80"), ("passing", checked, "value IS NULL"), ("unchecked", PURCHASES, None)):
+        sets = rule and [RuleSet("spent", "spent", "SELECT * FROM Purchases", "event_id", (Rule("r", "spent", rule),))]
+        run_view(space.use(spec, "acme", *MONTH), job, reports, sets)
+    status = latest_status(spark, reports.status).select(F.col("JobId").alias("job"), F.col("DQStatus").alias("status"), F.col("ErrorCount").alias("errors"))
+    sample = spark.read.parquet(reports.sample).groupBy("job").agg(F.count("*").alias("sampled"), F.min("record_id").alias("least"), F.max("record_id").alias("greatest"))
+    record = F.from_json("value", RUN_SCHEMA)
+    records = spark.read.parquet(reports.metrics).select(F.col("key").alias("job"), record["body"]["viewName_keyword"].alias("view"))
+    stored = space.use(PURCHASES, "acme", *MONTH).stored().agg(F.count("*").alias("stored"))
+    rows = status.join(sample, "job", "left").join(records, "job").crossJoin(F.broadcast(stored))
+    return rows.withColumn("sampled", F.coalesce("sampled", F.lit(0)))

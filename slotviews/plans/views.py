@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,6 +74,13 @@ class Workspace:
         self.input_paths = []
         return self._resolve(spec, client, start, end, spec.prefer_materialized, {}, spec.name)
 
+    def bring(self, imports: Sequence[Import], client: str, start, end, prefer: bool = False) -> None:
+        """Resolves imports into views of their names, for queries that are no view's steps."""
+        first, last = check_window(start, end)
+        self.input_paths, known = [], {None: None}
+        for link in imports:
+            self._resolve(link.spec, client, *import_window(link, first, last), prefer, known, link.name)
+
     def _resolve(self, spec, client, start, end, prefer, known, name) -> DataFrame:
         # ``known`` holds what this run has resolved; it is empty for the root
         source = source_of(spec, prefer, not known)
@@ -109,8 +117,9 @@ class Workspace:
 
     def _stored(self, spec, client, start, end) -> DataFrame:
         location = self.location(spec)
-        rows = read_slots(self.spark, location, client, spec.fmt, start, end, schema=spec.schema)
-        self.input_paths += existing_slots(self.spark, location, client, start, end).values()
+        found = existing_slots(self.spark, location, client, start, end)
+        rows = read_slots(self.spark, location, client, spec.fmt, start, end, schema=spec.schema, found=found)
+        self.input_paths += found.values()
         if not spec.sensitive:
             return rows
         types = {column.name: column.type for column in spec.columns if column.type}
