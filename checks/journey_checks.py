@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 from checks.registry import check
 from checks.tables import EVENTS_SQL, chat_interactions, events, web_events
 from slotviews.functions.flags import (
-    CANCEL_BUCKETS,
-    CAUSES,
-    INACTIVITY,
-    STAGE_CAUSES,
     cancel_latency_flags,
     termination_flags,
 )
@@ -128,6 +124,38 @@ CODES_SQL = """CASE k % 9 WHEN 0 THEN 'VISITOR_LEAVE' WHEN 1 THEN 'VISITOR_UNAVA
     WHEN 6 THEN 'VISITOR_NON_RESPONSIVE_AUTO_TERMINATED' WHEN 7 THEN 'OTHER' END"""
 
 
+# Fixed values, written out here once more so that an error in the library's own lists shows.
+CODES = {
+    "UserEnded": "'VISITOR_LEAVE'",
+    "UserUnavailable": "'VISITOR_UNAVAILABLE'",
+    "UserUnreachableAgentEnded": "'VISITOR_NON_RESPONSIVE_AUTO_TERMINATED'",
+    "AgentLost": "'OWNER_UNREACHABLE', 'OWNER_ABRUPT_LOGOUT', 'OWNER_TIMEDOUT', 'OWNER_LEFT'",
+    "PlatformFailure": """'ALLOCATION_TIMEOUT', 'ALLOCATION_FAILURE', 'VISITOR_INVITE_REJECTED', 'VISITOR_INVITE_FAILURE',
+        'VISITOR_COLLAB_FAILURE', 'OWNER_INVITE_FAILURE', 'OWNER_COLLAB_FAILURE', 'ADDRESS_BOOK_FAILURE',
+        'COLLABORATION_SERVER_FAILURE', 'INTERACTION_STATE_ERROR', 'INTERACTION_LIFECYCLE_ERROR', 'CACHE_FAILURE',
+        'SYSTEM_FAILURE', 'UNCLASSIFIED_FAILURE', 'MONITORING_RECONCILE'""",
+    "QueueTimeOut": "'QUEUE_TIMEOUT'",
+    "QueueFull": "'QUEUE_FULL'",
+}
+STAGES = {
+    "preQueued": "UserEnded UserUnavailable QueueFull PlatformFailure",
+    "preConnected": "UserEnded UserUnavailable UserUnreachableAgentEnded AgentLost PlatformFailure QueueTimeOut",
+    "preInteractive": "UserEnded UserUnavailable AgentLost PlatformFailure",
+    "postInteractive": "UserEnded UserUnavailable UserUnreachableAgentEnded AgentLost PlatformFailure QueueTimeOut QueueFull",
+}
+LATENCIES = {
+    "accpetToCancel1to5SecFlag": "<= 5000",
+    "accpetToCancel6to10SecFlag": "BETWEEN 5001 AND 10000",
+    "accpetToCancel11to15SecFlag": "BETWEEN 10001 AND 15000",
+    "accpetToCancel16to30SecFlag": "BETWEEN 15001 AND 30000",
+    "accpetToCancelMoreThan30SecFlag": "> 30000",
+}
+STATUSES = {"agentVisitorInactiveFlag": "NON_INTERACTIVE", "agentInactiveFlag": "AGENT_NON_INTERACTIVE", "visitorInactiveFlag": "VISITOR_NON_INTERACTIVE"}
+_ALL = [code.strip() for codes in CODES.values() for code in codes.split(",")] + ["'OTHER'", "NULL"]
+# each code in turn, whatever the stage times of a row are
+EVERY_CODE_SQL = f"CASE event_id % {len(_ALL)} " + " ".join(f"WHEN {i} THEN {code}" for i, code in enumerate(_ALL)) + " END"
+
+
 def _termination_sql(code: str, requested: str, started: str, interactive: str) -> str:
     before_start = f"{interactive} IS NULL AND {started} IS NULL"
     stages = {
@@ -137,37 +165,35 @@ def _termination_sql(code: str, requested: str, started: str, interactive: str)
         "postInteractive": f"{interactive} IS NOT NULL",
     }
     columns = []
-    for stage, causes in STAGE_CAUSES.items():
-        for cause in causes:
+    for stage, causes in STAGES.items():
+        for cause in causes.split():
             reached = before_start if (stage, cause) == ("preQueued", "QueueFull") else stages[stage]
-            codes = ", ".join(f"'{value}'" for value in CAUSES[cause])
-            columns.append(f"CASE WHEN {reached} AND {code} IN ({codes}) THEN 1 ELSE 0 END AS {stage}{cause}Flag")
+            columns.append(f"CASE WHEN {reached} AND {code} IN ({CODES[cause]}) THEN 1 ELSE 0 END AS {stage}{cause}Flag")
     return ",\n".join(columns)
 
 
 def _latency_sql(code: str, gap: str) -> str:
     columns = []
-    for name, (low, high) in CANCEL_BUCKETS.items():
-        test = " AND ".join([f"{gap} >= {low}"] * (low is not None) + [f"{gap} <= {high}"] * (high is not None))
-        columns.append(f"CASE WHEN {code} IN ('VISITOR_LEAVE', 'VISITOR_UNAVAILABLE') AND {test} THEN 1 ELSE 0 END AS {name}")
+    for name, test in LATENCIES.items():
+        columns.append(f"CASE WHEN {code} IN ('VISITOR_LEAVE', 'VISITOR_UNAVAILABLE') AND {gap} {test} THEN 1 ELSE 0 END AS {name}")
     return ",\n".join(columns)
 
 
 @check(
     f"""WITH e AS ({EVENTS_SQL}), s AS (
-      SELECT event_id, {CODES_SQL} AS code,
-        CASE WHEN event_id % 2 = 0 THEN epoch_ms END AS requested,
-        CASE WHEN event_id % 3 = 0 THEN epoch_ms END AS started,
-        CASE WHEN event_id % 5 = 0 THEN epoch_ms END AS interactive FROM e)
+      SELECT event_id, {EVERY_CODE_SQL} AS code,
+        CASE WHEN k % 2 = 0 THEN epoch_ms END AS requested,
+        CASE WHEN k % 3 = 0 THEN epoch_ms END AS started,
+        CASE WHEN k % 5 = 0 THEN epoch_ms END AS interactive FROM e)
     SELECT event_id, {_termination_sql("code", "requested", "started", "interactive")} FROM s"""
 )
 def termination_stage_flags(spark, sf_dir):
     rows = events(spark, sf_dir).selectExpr(
         "event_id",
-        f"{CODES_SQL} AS code",
-        "CASE WHEN event_id % 2 = 0 THEN epoch_ms END AS requested",
-        "CASE WHEN event_id % 3 = 0 THEN epoch_ms END AS started",
-        "CASE WHEN event_id % 5 = 0 THEN epoch_ms END AS interactive",
+        f"{EVERY_CODE_SQL} AS code",
+        "CASE WHEN k % 2 = 0 THEN epoch_ms END AS requested",
+        "CASE WHEN k % 3 = 0 THEN epoch_ms END AS started",
+        "CASE WHEN k % 5 = 0 THEN epoch_ms END AS interactive",
     )
     flags = termination_flags(*[F.col(name) for name in ("code", "requested", "started", "interactive")])
     return rows.select("event_id", *[column.alias(name) for name, column in flags.items()])
@@ -197,7 +223,7 @@ def _funnel_sql() -> str:
     invite = "'inv' || ((k // 4) % 3)"
     code = "COALESCE(j.code, n.code)"
     gap = "(COALESCE(j.t, n.t, r.form_t, r.t, 0) - COALESCE(r.t, r.form_t, 0))"
-    inactive = ",\n".join(f"CASE WHEN m.status = '{v}' THEN 1 ELSE 0 END AS {n}" for n, v in INACTIVITY.items())
+    inactive = ",\n".join(f"CASE WHEN m.status = '{v}' THEN 1 ELSE 0 END AS {n}" for n, v in STATUSES.items())
 
     def notice(name: str, pattern: str, reached: str) -> str:
         return f"CASE WHEN {reached} AND f.t IS NULL AND lower(l.info) LIKE '%{pattern}%' THEN 1 ELSE 0 END AS {name}"

@@ -277,7 +277,10 @@ def journey_funnel(
 
 
 def funnel_columns() -> dict[str, Column]:
-    """Output columns over the joined stage columns, in order."""
+    """Output columns over the joined stage columns, in order.
+
+    Their names are fixed values that readers of the view rely on.
+    """
     c = F.col
     code = F.coalesce("j_code", "n_code")
     gap = F.coalesce("j_t", "n_t", "e_t", "d_t", F.lit(0)) - F.coalesce("d_t", "e_t", F.lit(0))

@@ -28,3 +28,13 @@ def test_flagship(spark):
     import __spark_entry__ as entry
 
     assert len(entry.entry(spark).columns) == 74
+
+
+@pytest.mark.parametrize("cause, code", [("PlatformFailure", "CACHE_FAILURE"), ("AgentLost", "OWNER_TIMEDOUT")])
+def test_a_wrong_code_turns_a_query_red(spark, connection, monkeypatch, cause, code):
+    import __spark_entry__ as entry
+    from slotviews.functions import flags
+
+    monkeypatch.setitem(flags.CAUSES, cause, tuple(c for c in flags.CAUSES[cause] if c != code))
+    rows = collect(entry.queries()["termination_stage_flags"](spark, SMALL))
+    assert compare(rows, oracle(connection, entry.oracle_sql()["termination_stage_flags"])) != ""
