@@ -126,7 +126,7 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text", lead: float = 0.05) -> DataFrame:
+def predict(docs: DataFrame, model: Model, text_col: str = "text", lead: float = 0.01) -> DataFrame:
     """Adds ``lang_pred``, ``score`` and ``ambiguous`` to every row.
 
     The prediction sees the whole text and nothing else. A null text, one without a
