@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotviews.llm.common import stored
+from slotviews.llm.common import running, stored
 
 LINE = "\\n"
 PARAGRAPH = "\\n(?:[ \\t\\r]*\\n)+"
@@ -33,30 +33,27 @@ def dedup_units(docs: DataFrame, separator: str = LINE, min_chars: int = 1, id_c
 
     A null text stays null with nothing removed; an empty one stays empty. Rows without
     an id rank first. Rows with equal ids are told apart by their text; full repeats of
-    a row count once and come back once. Other columns are not read.
+    a row count as one and come back as often. Other columns are not read.
     """
     if separator not in _GLUE:
         raise ValueError("separator must be LINE or PARAGRAPH")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn("h", F.xxhash64("text")).distinct()
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
     cut = F.split(F.coalesce("text", F.lit("")), separator)
     if separator == LINE:
-        placed = F.transform(cut, lambda u: F.struct(u.alias("unit"), F.lit(1).alias("gap")))
+        gaps = F.array_repeat(F.lit(1), F.size("units"))
     else:
         gaps = F.transform(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(f"({separator})"), F.lit(1)), lambda g: F.length(g))
-        placed = F.zip_with(cut, gaps, lambda u, g: F.struct(u.alias("unit"), F.coalesce(g, F.lit(0)).alias("gap")))
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    units = source.select("doc_id", F.xxhash64("text").alias("h"), F.posexplode(placed).alias("pos", "u"))
-    normal = normalised(F.col("u.unit"))
-    digest = F.when(F.length(normal) >= min_chars, F.unhex(F.sha2(normal, 256)))
-    units = units.select("doc_id", "h", "pos", F.length("u.unit").alias("size"), "u.gap", digest.alias("digest")).dropDuplicates(["doc_id", "h", "pos"])
-    upto = Window.partitionBy("doc_id", "h").orderBy("pos")
-    units = units.withColumn("end", F.sum(F.col("size").cast("bigint") + F.col("gap")).over(upto) - F.col("gap"))
-    units = stored(units.filter("digest IS NOT NULL").select("doc_id", "h", "pos", (F.col("end") - F.col("size")).alias("start"), "end", "digest"), "units")
+    sizes = F.zip_with("units", gaps, lambda u, g: F.length(u).cast("bigint") + F.coalesce(g, F.lit(0)))
+    begins = running(F.concat(F.array(F.lit(0).cast("bigint")), F.slice(sizes, F.lit(1), F.size("units") - 1)))
+    placed = F.zip_with("units", begins, lambda u, b: F.struct(u.alias("unit"), b.alias("start")))
+    units = rows.withColumn("units", cut).select("doc_id", "h", F.posexplode(placed).alias("pos", "u"))
+    units = units.select("doc_id", "h", "pos", "u.start", (F.col("u.start") + F.length("u.unit")).alias("end"), normalised(F.col("u.unit")).alias("normal"))
+    units = stored(units.filter(F.length("normal") >= min_chars).select("doc_id", "h", "pos", "start", "end", F.unhex(F.sha2("normal", 256)).alias("digest")), "units")
 
     place = F.struct("doc_id", "h", "pos")
     firsts = units.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "first")
     again = units.join(firsts, "digest").filter(~place.eqNullSafe(F.col("first")))
-    gone = again.groupBy("doc_id", "h").agg(F.sort_array(F.collect_list(F.struct("pos", "start", "end", F.col("first.doc_id").alias("first_id")))).alias("gone"))
+    gone = again.groupBy("doc_id", "h").agg(F.sort_array(F.collect_set(F.struct("pos", "start", "end", F.col("first.doc_id").alias("first_id")))).alias("gone"))
     gone = gone.withColumnsRenamed({"doc_id": "_id", "h": "_h"})
     joined = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")), "left")
     joined = joined.withColumn("units", cut).withColumn("gone", F.coalesce("gone", F.expr("filter(array(named_struct('pos', 0, 'start', 0L, 'end', 0L, 'first_id', doc_id)), x -> false)")))
