@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotviews.llm.common import with_next
+from slotviews.llm.common import let, with_next
 
 LANES = 16  # sums of 32-bit hashes of whole paragraphs, modulo 2**32
 SIGNS = 64  # counts of the set bits of hashes of paragraphs' clauses, modulo 2**16
@@ -24,14 +24,13 @@ def fingerprint(text: Column) -> Column:
     fingerprint. Texts that differ in the order of paragraphs or in blank lines alone have
     equal fingerprints. A null or empty text has the zero fingerprint.
     """
-    paragraphs = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "[\\n\\r]+"), lambda p: F.trim(p)), lambda p: p != "")
-    return F.struct(
-        F.size(paragraphs).cast("bigint").alias("n"),
-        F.transform(
-            F.sequence(F.lit(0), F.lit(LANES - 1)),
-            lambda i: F.aggregate(paragraphs, F.lit(0).cast("bigint"), lambda a, p: (a + F.xxhash64(i, p).bitwiseAND(F.lit(0xFFFFFFFF))).bitwiseAND(F.lit(0xFFFFFFFF))),
-        ).alias("lanes"),
-    )
+    paragraphs_of = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "[\\n\\r]+"), lambda p: F.trim(p)), lambda p: p != "")
+
+    def summed(paragraphs: Column) -> Column:
+        lane = lambda i: F.aggregate(paragraphs, F.lit(0).cast("bigint"), lambda a, p: (a + F.xxhash64(i, p).bitwiseAND(F.lit(0xFFFFFFFF))).bitwiseAND(F.lit(0xFFFFFFFF)))
+        return F.struct(F.size(paragraphs).cast("bigint").alias("n"), F.transform(F.sequence(F.lit(0), F.lit(LANES - 1)), lane).alias("lanes"))
+
+    return let(paragraphs_of, summed)
 
 
 def _clauses(text: Column) -> Column:
@@ -116,7 +115,7 @@ def edited_and_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     read.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = with_next(add_fingerprint(rows, "text", "fp"), "doc_id", ["text", "fp"])
+    rows = with_next(rows, "doc_id", ["text", "fp"], derive=lambda df: add_fingerprint(df, "text", "fp"))
     rows = rows.withColumn("n_chars", F.length("text").cast("bigint"))
     rows = rows.withColumn("edited", F.expr("concat(substring(text, 1, int(n_chars - n_chars div 2)), substring(next_text, 1, int(n_chars div 2)))"))
     return add_fingerprint(rows.drop("text", "next_text"), "edited", "edited_fp")
