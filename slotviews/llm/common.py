@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from slotviews.session import scratch_path
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -206,20 +206,20 @@ def with_next(df: DataFrame, id_col: str, columns: list[str], block_rows: int =
     low, high, rows = df.agg(F.min(id_col), F.max(id_col), F.count(F.lit(1))).first()
     width = max(1, -(-((high or 0) - (low or 0) + 1) * block_rows // max(rows, 1)))
     block = F.coalesce(F.floor((F.col(id_col) - F.lit(low or 0)) / F.lit(width)).cast("bigint"), F.lit(-1))
-    rows_in = df.withColumn("_block", block)
+    rows_in = df.withColumn("__next_block", block)
     # one row a block: the window over all of them orders a few thousandths of the rows
-    heads = rows_in.groupBy("_block").agg(F.min(id_col).alias("_head"))
-    order = Window.orderBy("_block")
-    heads = heads.select("_head", F.lag("_block").over(order).alias("_into"), F.max("_block").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_last"))
-    heads = heads.select("_head", F.coalesce("_into", "_last").alias("_into"))
+    heads = rows_in.groupBy("__next_block").agg(F.min(id_col).alias("__next_head"))
+    order = Window.orderBy("__next_block")
+    heads = heads.select("__next_head", F.lag("__next_block").over(order).alias("__next_into"), F.max("__next_block").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("__next_last"))
+    heads = heads.select("__next_head", F.coalesce("__next_into", "__next_last").alias("__next_into"))
     if rows / block_rows * 16 < 64_000_000:
         heads = F.broadcast(heads)
-    borrowed = df.join(heads, df[id_col].eqNullSafe(heads["_head"])).select(*[df[c] for c in df.columns], F.col("_into").alias("_block"), F.lit(1).alias("_ghost"))
-    both = rows_in.withColumn("_ghost", F.lit(0)).unionByName(borrowed)
+    borrowed = df.join(heads, df[id_col].eqNullSafe(heads["__next_head"])).select(*[df[c] for c in df.columns], F.col("__next_into").alias("__next_block"), F.lit(1).alias("__next_ghost"))
+    both = rows_in.withColumn("__next_ghost", F.lit(0)).unionByName(borrowed)
     both = derive(both) if derive else both
-    window = Window.partitionBy("_block").orderBy("_ghost", F.col(id_col).asc_nulls_first(), *columns)
+    window = Window.partitionBy("__next_block").orderBy("__next_ghost", F.col(id_col).asc_nulls_first(), *columns)
     leads = {f"next_{c}": F.lead(c).over(window) for c in columns}
-    return both.withColumns(leads).filter("_ghost = 0").drop("_block", "_ghost")
+    return both.withColumns(leads).filter("__next_ghost = 0").drop("__next_block", "__next_ghost")
 
 
 # ---------------------------------------------------------------- components
