@@ -7,12 +7,13 @@
    of the first few in that order (the prefix), so only classes with a repeated n-gram in
    the prefix stay *active*. Passages that many documents share stand at the end of the
    order and bring no candidates.
-3. A first round compares classes that share a minimum hash with one leader of theirs, so
-   large groups of near copies become components after a few comparisons of each member.
-4. Size-banded tiles: a tile has the classes of one size band, and guests of the band
-   below, that share a prefix n-gram. Inside it, pairs that are not connected yet are
-   bounded from above by the bit counts of hashed bitmaps; what remains is intersected
-   exactly. No pair that links is lost: the first round only adds links.
+3. Active classes that share a prefix n-gram, directly or through others, form a block. A
+   block is cut into size bands and its bands into chunks, so that a large group of near
+   copies becomes many tiles: pairs of chunks whose sizes can link. A class travels once
+   for each tile it belongs to, once in all if its block is small.
+4. Inside a tile, pairs that are not connected yet are bounded from above by the bit
+   counts of hashed bitmaps; what remains is intersected exactly on the sorted arrays.
+   Links that close a circle are not needed and not looked for.
 """
 
 from __future__ import annotations
@@ -31,11 +32,11 @@ BLOCK_NGRAMS = 1_500_000
 BLOCK_CLASSES = 60_000  # owners of n-grams in a block are two-byte numbers
 LOW_BITS = 40  # of an n-gram's hash, besides the part it is dealt to
 MOST_COUNTED = 65_535  # the order needs no larger counts
-LEADER_HASHES = 16
+TILE = 1024  # classes of a chunk, about
 NO_ID = np.iinfo(np.int64).min
 
 _MOVED = "part int, block bigint, grams binary, owners binary, counts binary, docs binary, doc_owners binary, classes binary, sizes binary"
-_SETS = "doc_id bigint, class bigint, n int, grams binary, prefix binary, leaders array<bigint>"
+_SETS = "doc_id bigint, class bigint, n int, grams binary, prefix array<bigint>"
 
 
 def bands(percent: int) -> np.ndarray:
@@ -146,8 +147,6 @@ def _count(batches):
 
 def _sets(percent: int):
     """Whole blocks: every document with its class, and the active classes' repeated n-grams."""
-    seeds = mix(np.arange(1, LEADER_HASHES + 1, dtype=np.uint64))
-
     def task(batches):
         blocks: dict[int, list] = {}
         for batch in batches:
@@ -165,112 +164,99 @@ def _sets(percent: int):
             prefix = sizes - -(-percent * sizes // 100) + 1 - (sizes - repeated)
             none = [None] * len(docs)
             ids = pa.array(docs, pa.int64(), mask=docs == NO_ID)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(classes[doc_owners]), pa.array(sizes[doc_owners]), pa.array(none, pa.binary()), pa.array(none, pa.binary()), pa.array(none, pa.list_(pa.int64()))], ["doc_id", "class", "n", "grams", "prefix", "leaders"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(classes[doc_owners]), pa.array(sizes[doc_owners]), pa.array(none, pa.binary()), pa.array(none, pa.list_(pa.int64()))], ["doc_id", "class", "n", "grams", "prefix"])
             out = []
             for c in np.flatnonzero((prefix > 0) & (repeated > 0)):
                 own = grams[bounds[c] : bounds[c + 1]]
-                leaders = mix(own[None, :] ^ seeds[:, None]).min(1) ^ seeds
-                out.append((int(classes[c]), int(sizes[c]), np.sort(own).tobytes(), own[: prefix[c]].tobytes(), leaders.view(np.int64).tolist()))
+                out.append((int(classes[c]), int(sizes[c]), np.sort(own).tobytes(), own[: prefix[c]].view(np.int64).tolist()))
             for i in range(0, len(out), 2000):
-                c, n, g, p, m = zip(*out[i : i + 2000], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(c), pa.int64()), pa.array(c), pa.array(n, pa.int32()), pa.array(g, pa.binary()), pa.array(p, pa.binary()), pa.array(m, pa.list_(pa.int64()))], ["doc_id", "class", "n", "grams", "prefix", "leaders"])
+                c, n, g, p = zip(*out[i : i + 2000], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(c), pa.int64()), pa.array(c), pa.array(n, pa.int32()), pa.array(g, pa.binary()), pa.array(p, pa.list_(pa.int64()))], ["doc_id", "class", "n", "grams", "prefix"])
 
     return task
 
 
-def _verify(pairs: DataFrame, active: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sets, intersected exactly, are similar enough."""
-
-    def task(batches):
-        for batch in batches:
-            a, b, n, m, left, right = (c.to_pylist() for c in batch.columns)
-            good = []
-            for i in range(len(a)):
-                both = np.concatenate((np.frombuffer(left[i], np.uint64), np.frombuffer(right[i], np.uint64)))
-                both.sort(kind="stable")
-                shared = int(np.count_nonzero(both[1:] == both[:-1]))
-                good.append(100 * shared >= percent * (n[i] + m[i] - shared))
-            keep = np.flatnonzero(good)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep)), batch.column(1).take(pa.array(keep))], ["a", "b"])
-
-    left = active.select(F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("grams").alias("g_a"))
-    right = active.select(F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("grams").alias("g_b"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "g_a", "g_b")
-    return joined.mapInArrow(task, "a bigint, b bigint")
-
-
-def _signature(grams: np.ndarray, words: int) -> np.ndarray:
-    bits = np.zeros(words, np.uint64)
-    at = (mix(grams) % np.uint64(words * 64)).astype(np.int64)
-    np.bitwise_or.at(bits, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
-    return bits
-
-
-def _tile_rows(percent: int):
-    """Each active class once for every tile: its own band's and, as a guest, the next's."""
-    bounds = bands(percent)
-    words = [int(np.clip(2 ** int(b - 1).bit_length() // 64, 2, 128)) for b in bounds]
+def _tiled(placed: DataFrame, percent: int) -> DataFrame:
+    """Each row of ``(class, n, grams, root)`` once for each of its tiles.
 
-    def task(batches):
-        for batch in batches:
-            out = []
-            for name, n, grams, prefix, component in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                grams, prefix = np.frombuffer(grams, np.uint64), np.frombuffer(prefix, np.uint64)
-                own = int(np.searchsorted(bounds, n, "right")) - 1
-                for band in (own, own + 1):
-                    tiles = mix(prefix * np.uint64(64) + np.uint64(band)).view(np.int64)
-                    bits = _signature(grams, words[band]).tobytes()
-                    out += [(t, band == own, name, n, len(grams), component, bits) for t in tiles.tolist()]
-            if out:
-                types = [pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], ["tile", "own", "class", "n", "m", "component", "bits"])
-
-    return task
+    ``side`` is 0 where all pairs of a tile count; else only pairs of side 1 and side 2.
+    """
+    bounds = F.array(*(F.lit(int(b)) for b in bands(percent)))
+    rows = placed.withColumn("band", F.size(F.filter(bounds, lambda b: b <= F.col("n"))))
+    counts = rows.groupBy("root", "band").agg(F.count(F.lit(1)).alias("k"))
+    counts = counts.groupBy("root").agg(F.map_from_entries(F.collect_list(F.struct("band", F.ceil(F.col("k") / TILE).cast("int")))).alias("chunks"), F.sum("k").alias("k"))
+    rows = rows.join(counts, "root")
+    chunks = lambda band: F.coalesce(F.try_element_at("chunks", band), F.lit(0))
+    own = F.pmod(F.xxhash64("class"), chunks(F.col("band"))).cast("int")
+
+    def tile(band, a, other, b, side):
+        return F.struct(F.xxhash64("root", band, a, other, b).alias("tile"), side.cast("int").alias("side"))
+
+    def upto(n):
+        return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.expr("cast(array() as array<int>)"))
+
+    band, below, above = F.col("band"), F.col("band") - 1, F.col("band") + 1
+    side = lambda j: F.when(j == own, 0).when(j > own, 1).otherwise(2)
+    tiles = F.concat(
+        F.transform(upto(chunks(band)), lambda j: tile(band, F.least(own, j), band, F.greatest(own, j), side(j))),
+        F.transform(upto(chunks(above)), lambda j: tile(band, own, above, j, F.lit(1))),
+        F.transform(upto(chunks(below)), lambda j: tile(below, j, band, own, F.lit(2))),
+    )
+    whole = F.array(tile(F.lit(0), F.lit(0), F.lit(0), F.lit(0), F.lit(0)))
+    return rows.select("class", "n", "grams", F.explode(F.when(F.col("k") <= TILE, whole).otherwise(tiles)).alias("t")).select("t.tile", "t.side", "class", "n", "grams")
+
+
+def tile_links(side: np.ndarray, name: np.ndarray, n: np.ndarray, grams: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links of a tile, without those between classes that others connect."""
+    order = np.argsort(n, kind="stable")
+    side, name, n, grams = side[order], name[order], n[order].astype(np.int64), [grams[i] for i in order]
+    m = np.array([len(g) for g in grams])
+    ends = np.cumsum(m)
+    known, ids = np.unique(np.concatenate(grams), return_inverse=True)
+    words = int(np.clip(2 ** int(m.max() - 1).bit_length() // 64, 2, 256))
+    bits = (mix(known) % np.uint64(words * 64)).astype(np.int64)[ids]
+    signs = np.zeros((len(n), words), np.uint64)
+    np.bitwise_or.at(signs, (np.repeat(np.arange(len(n)), m), bits >> 6), np.uint64(1) << (bits & 63).astype(np.uint64))
+    group, mine, links = np.arange(len(n)), np.zeros(len(known), bool), []
+    for i in range(len(n)):
+        last = np.searchsorted(n, n[i] * 100 // percent, "right")
+        other = i + 1 + np.flatnonzero((group[i + 1 : last] != group[i]) & ((side[i + 1 : last] != side[i]) | (side[i] == 0)))
+        if not len(other):
+            continue
+        need = -(-percent * (n[other] + n[i]) // (100 + percent))
+        apart = signs[other]
+        most = np.minimum(m[i] - np.bitwise_count(signs[i] & ~apart).sum(1, dtype=np.int64), m[other] - np.bitwise_count(apart & ~signs[i]).sum(1, dtype=np.int64))
+        other, need = other[most >= need], need[most >= need]
+        if not len(other):
+            continue
+        own = ids[ends[i] - m[i] : ends[i]]
+        mine[own] = True
+        hits = mine[np.concatenate([ids[ends[j] - m[j] : ends[j]] for j in other])]
+        shared = np.add.reduceat(hits, np.concatenate(([0], np.cumsum(m[other])[:-1])), dtype=np.int64)
+        mine[own] = False
+        for j in other[shared >= need]:
+            if group[j] != group[i]:
+                links.append((int(name[i]), int(name[j])))
+                group[group == group[j]] = group[i]
+    return links
 
 
 def _compare(percent: int):
-    """Pairs of a tile that the bitmaps allow and that no component holds yet."""
-
-    def tile(own, name, n, m, component, bits):
-        groups, inverse, counts = np.unique(component, return_inverse=True, return_counts=True)
-        if len(groups) < 2 or not own.any():
-            return
-        signs = np.frombuffer(b"".join(bits), np.uint64).reshape(len(name), -1)
-        open_ = np.flatnonzero(inverse != np.argmax(counts))  # every wanted pair has one of these
-        rank = np.full(len(name), len(name))
-        rank[open_] = np.arange(len(open_))
-        for i in open_:
-            other = np.flatnonzero((inverse != inverse[i]) & (own | own[i]) & (rank > rank[i]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])))
-            if not len(other):
-                continue
-            need = -(-percent * (n[other] + n[i]) // (100 + percent))
-            theirs, mine = signs[other], signs[i]
-            most = np.minimum(m[i] - np.bitwise_count(mine & ~theirs).sum(1, dtype=np.int64), m[other] - np.bitwise_count(theirs & ~mine).sum(1, dtype=np.int64))
-            other = other[most >= need]
-            yield np.stack((np.minimum(name[i], name[other]), np.maximum(name[i], name[other])), 1)
+    """All rows of some tiles to links."""
 
     def task(batches):
-        columns = [[] for _ in range(7)]
+        tiles: dict[int, list] = {}
         for batch in batches:
-            for held, column in zip(columns, batch.columns, strict=True):
-                held.append(column)
-        if not columns[0]:
-            return
-        columns = [pa.chunked_array(c) for c in columns]
-        tiles, own, name, n, m, component = (c.to_numpy() for c in columns[:6])
-        order = np.argsort(tiles, kind="stable")
-        edge = np.flatnonzero(np.concatenate(([True], np.diff(tiles[order]) != 0)))
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                tiles.setdefault(row[0], []).append(row[1:])
         found = []
-        for a, b in zip(edge, np.append(edge[1:], len(tiles)), strict=True):
-            if b - a > 1:
-                rows = order[a:b]
-                found += tile(own[rows], name[rows], n[rows].astype(np.int64), m[rows].astype(np.int64), component[rows], columns[6].take(pa.array(rows)).to_pylist())
-            if len(found) > 20_000:
-                found = [np.unique(np.concatenate(found), axis=0)]
+        for rows in tiles.values():
+            if len(rows) > 1:
+                side, name, n, grams = zip(*rows, strict=True)
+                found += tile_links(np.array(side), np.array(name), np.array(n), [np.frombuffer(g, np.uint64) for g in grams], percent)
         if found:
-            pairs = np.unique(np.concatenate(found), axis=0)
-            for i in range(0, len(pairs), 10_000):
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[i : i + 10_000, 0]), pa.array(pairs[i : i + 10_000, 1])], ["a", "b"])
+            a, b = zip(*found, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     return task
 
@@ -295,22 +281,13 @@ def linked_components(docs: DataFrame, words: int = 5, percent: int = 75, id_col
     dealt = rows.mapInArrow(_hash_texts(4 * parts, words), _MOVED).repartition(parts, "part")
     back = dealt.mapInArrow(_count, _MOVED).repartition(parts, "block")
     sets = stored(back.mapInArrow(_sets(percent), _SETS), "sets")
-    active = sets.filter("grams IS NOT NULL").dropDuplicates(["class"]).select("class", "n", "grams", "prefix", "leaders")
-    active = stored(active, "active")
-
-    shared = active.select("class", "n", F.explode("leaders").alias("key"))
-    leader = shared.groupBy("key").agg(F.min(F.struct("class", "n")).alias("l"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("key", "l")
-    fits = 100 * F.least("n", "l.n") >= percent * F.greatest("n", "l.n")
-    pairs = shared.join(leader, "key").filter((F.col("class") != F.col("l.class")) & fits).select(F.col("l.class").alias("a"), F.col("class").alias("b")).distinct()
-    first = stored(_verify(pairs, active, percent), "links")
-    groups = components(first)
-
-    placed = active.join(groups.withColumnRenamed("node", "class"), "class", "left")
-    placed = placed.select("class", "n", "grams", "prefix", F.coalesce("root", "class").alias("component"))
-    tiles = placed.mapInArrow(_tile_rows(percent), "tile bigint, own boolean, class bigint, n int, m int, component bigint, bits binary")
-    pairs = tiles.repartition(parts, "tile").mapInArrow(_compare(percent), "a bigint, b bigint").distinct()
-    second = _verify(pairs, active, percent)
-    groups = components(first.union(second))
+    active = stored(sets.filter("grams IS NOT NULL").dropDuplicates(["class"]), "active")
+    shared = active.select("class", F.explode("prefix").alias("gram"))
+    first = shared.groupBy("gram").agg(F.min("class").alias("first"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+    blocks = components(shared.join(first, "gram").select(F.col("first").alias("a"), F.col("class").alias("b")).distinct())
+    placed = active.select("class", "n", "grams").join(blocks.withColumnRenamed("node", "class"), "class")
+    tiles = _tiled(placed, percent).select("tile", "side", "class", "n", "grams").repartition(parts, "tile")
+    groups = components(tiles.mapInArrow(_compare(percent), "a bigint, b bigint"))
 
     members = sets.filter("grams IS NULL").select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "class")
     some = members.filter("n_shingles > 0").join(groups.withColumnRenamed("node", "class"), "class", "left")

@@ -56,6 +56,12 @@ def test_near_copies_with_a_shared_passage(spark):
     assert found(jaccard.linked_components(documents(spark, texts))) == expected(range(len(texts)), texts)
 
 
+def test_blocks_of_many_tiles(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "TILE", 8)
+    texts = variants(70, 90, 9, 7) + [" ".join(t.split()[: 60 + i]) for i, t in enumerate(variants(40, 100, 3, 7))]
+    assert found(jaccard.linked_components(documents(spark, texts))) == expected(range(len(texts)), texts)
+
+
 def test_boundary_is_included(spark):
     words = [f"w{i}" for i in range(40)]
     texts = [" ".join(words[:32]), " ".join(words[:25]), " ".join(words[:24])]  # 28, 21 and 20 runs
