@@ -99,9 +99,12 @@ def started_earlier(keys: np.ndarray, docs: np.ndarray, rows: np.ndarray, starts
     for i in range(0, len(order), BATCH):
         batch = order[i : i + BATCH]
         earlier[batch] = family.add(keys[batch], docs[batch]) < docs[batch]
+    # a row that is given twice brings the same start twice, which is not an earlier one
     order = np.lexsort((starts, rows, keys))
-    again = (keys[order][1:] == keys[order][:-1]) & (rows[order][1:] == rows[order][:-1])
-    earlier[order[1:]] |= again
+    edge = np.ones(len(keys), bool)
+    edge[1:] = (keys[order][1:] != keys[order][:-1]) | (rows[order][1:] != rows[order][:-1])
+    least = starts[order][edge][np.cumsum(edge) - 1]
+    earlier[order] |= starts[order] > least
     return earlier
 
 

@@ -54,6 +54,18 @@ def test_equal_and_missing_ids(spark):
     assert [(i, bool(r)) for i, r, _ in got] == [(3, True), (3, True), (3, True), (9, True), (None, False)]
 
 
+@pytest.mark.parametrize("copies", [2, 3])
+def test_equal_rows_keep_what_one_would(spark, copies):
+    passage, own = prose(5, 60), [prose(20 + i, 40) for i in range(4)]
+    twice = own[0] + passage + own[1]
+    rows = [(1, own[2] + passage + own[3])] + [(3, twice)] * copies + [(3, own[2] + passage + own[1]), (4, own[0])]
+    ids, texts = zip(*rows, strict=True)
+    got = found(suffixes.earlier_strings(documents(spark, texts, ids)))
+    assert got == expected(rows, 100)
+    kept = [k for i, _, k in got if i == 3 and own[0].encode() in k]
+    assert len(kept) == copies and all(own[1].encode()[100:] in k for k in kept)
+
+
 def test_empty_table(spark):
     assert suffixes.earlier_strings(documents(spark, [])).count() == 0
 
