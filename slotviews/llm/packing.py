@@ -27,6 +27,9 @@ _SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!
 class Encoder(dict):
     """Ids of a text as little-endian 32-bit integers, the same as the tokenizer's.
 
+    With ``added`` they are those of the tokenizer as its file has it: a text that holds
+    the string of an added token goes whole through the untouched tokenizer. Without, as
+    with the tokenizer's ``encode_special_tokens``, strings of special tokens are text.
     A byte-level tokenizer starts a new piece at every single space between two other
     characters, so a text can be cut there and the ids of its parts be remembered. Texts
     with white space beside a space are encoded whole. Where the vocabulary's ids follow
@@ -34,14 +37,16 @@ class Encoder(dict):
     any other kind of file, whole texts go through the tokenizer itself.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.ids = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+        tokenizer.encode_special_tokens = not added
+        self.ids = self.untouched = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
+        # other added tokens than special ones are never text
+        self.added = [t["content"] for t in spec.get("added_tokens") or () if t["content"] and (added or not t.get("special"))]
         before, model = spec.get("pre_tokenizer") or {}, spec["model"]
         plain = not any(model.get(x) for x in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
         self.cuts = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and not spec.get("normalizer") and model["type"] == "BPE" and plain
@@ -67,6 +72,8 @@ class Encoder(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
+        if any(token in text for token in self.added):
+            return array("I", self.untouched(text)).tobytes()
         first, *rest = text.split(" ") if self.cuts else [text]
         if not rest or first and first[-1].isspace() or not rest[-1] or rest[-1][0].isspace():
             return self.whole(text)
@@ -143,12 +150,15 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, i
     the sum-of-squares rule. What is open when a task ends is cut to fill windows, so a
     task leaves one window that needs padding.
 
+    Ids are those of the tokenizer file's own ``encode`` without special tokens around the
+    text; the string of an added token inside a text is that token.
+
     Nulls and empty texts are documents of ``end_id`` alone. Equal ids and repeated rows
     are packed row by row. Columns other than the two named are not read.
     """
 
     def task(batches):
-        encoder = Encoder(tokenizer)
+        encoder = Encoder(tokenizer, added=True)
         levels = Levels(window, 0)
         next_id = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
         end, out, held = np.array([end_id], "<u4").tobytes(), [], 0

@@ -28,6 +28,28 @@ def test_encoder_agrees_with_the_tokenizer(tokenizer):
         assert encoder.encode(text) == np.array(ids_of(tokenizer, text), "<u4").tobytes(), text[:50]
 
 
+MARKED = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>", "a<|endoftext|>b  c\n", "<|endoftext", "a <|ENDOFTEXT|> b", prose(4, 40) + " <|endoftext|> " + prose(5, 40)]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_added_tokens_as_in_the_tokenizers_own_call(spark, name):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = str(public_tokenizers.path(name))
+    own = Tokenizer.from_file(path)  # untouched
+    texts = MARKED + TRICKY + [t for t in odd_texts() if t]
+    want = [own.encode(t, add_special_tokens=False).ids for t in texts]
+    encoder = packing.Encoder(path, added=True)
+    assert [np.frombuffer(encoder.encode(t), "<u4").tolist() for t in texts] == want
+    rows = packing.pack(documents(spark, texts), path, 128).collect()
+    for doc, ids in enumerate(want):
+        pieces = sorted((r for r in rows if r.doc_id == doc), key=lambda r: r.start)
+        assert [x for r in pieces for x in np.frombuffer(r.ids, "<u4").tolist()] == [*ids, 1]
+    if name == "byte_bpe_50k.json":
+        assert want[0] == [64, 220, 50256, 275]
+
+
 def test_encoder_forgets(tokenizer, monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 3)
     encoder = packing.Encoder(tokenizer_path())
