@@ -29,7 +29,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a passage of the benchmark."""
-    hits = decontam.benchmark_hits(docs, table(spark, sf_dir, "benchmark"))
+    hits = decontam.benchmark_hits(docs, table(spark, sf_dir, "benchmark"), short_items=True)
     hits = hits.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h")).distinct()
     return docs.join(hits, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_h")), "left_anti")
 

@@ -80,7 +80,7 @@ def op2_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = decontam.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hits = decontam.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), short_items=True)
     return hits.select("doc_id", "item_id", "similarity", "distance", "start", "end")
 
 

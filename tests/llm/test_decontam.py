@@ -81,6 +81,58 @@ def test_several_passes(spark, monkeypatch):
     assert set(found(spark, texts, items)) == whole
 
 
+def test_one_long_token_swapped(spark):
+    items, texts = [], []
+    for n in range(40):
+        own = prose(700 + n, 304).split()
+        for size in range(245, 150, -2):  # the longest token that keeps 0.75
+            own[150] = "".join(chr(97 + (n + i * i) % 26) for i in range(size)) + "end"
+            other = own[:150] + [own[150][::-1]] + own[151:]
+            if share(bag(words_of(" ".join(own))), bag(words_of(" ".join(other)))) >= 0.75:
+                break
+        items.append((n, " ".join(own)))
+        texts.append(prose(n, 15) + " " + " ".join(other) + " " + prose(n + 3, 15))
+    want = expected(texts, items)
+    assert len(want) == 40
+    assert set(found(spark, texts, items)) == set(want)
+
+
+def test_a_repeated_shingle_swapped(spark):
+    items, texts = [], []
+    for n in range(20):
+        own = prose(900 + n, 400).split()
+        items.append((n, " ".join(own[:200] + ["over"] * 55 + own[200:])))
+        texts.append(" ".join(own[:200] + ["again"] * 55 + own[200:]) + " " + prose(n, 9))
+    want = expected(texts, items)
+    assert len(want) == 20
+    assert set(found(spark, texts, items)) == set(want)
+
+
+def test_windows_are_sums_over_bags():
+    random = np.random.default_rng(3)
+    for size in (1, 4, 20, 60):
+        grams = random.integers(0, 9, 60).astype(np.uint64)
+        weights = (grams * 7 + 3).astype(np.int64)
+        sums = decontam.windows(grams, weights, size)
+        assert len(sums) == 60 - size + 1
+        for i, own in enumerate(sums):
+            part = slice(i, i + size)
+            assert (own == decontam.windows(grams[part], weights[part], size)[0]).all()
+            mixed = random.permutation(size)
+            assert (own == decontam.windows(grams[part][mixed], weights[part][mixed], size)[0]).all()
+
+
+def test_short_items_in_longer_texts(spark):
+    items = [(1, "three short words"), (2, "one"), (3, prose(1, 20)), (4, "Three SHORT, words!")]
+    texts = ["has three short words inside, three short words", "three short words", "One of three", "three short", None, "x " + prose(1, 20) + " one"]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    rows = decontam.benchmark_hits(documents(spark, texts), bench, short_items=True).collect()
+    got = {(r.doc_id, r.item_id): (r.similarity, texts[r.doc_id][r.start : r.end].lower()) for r in rows}
+    assert len(got) == len(rows)
+    assert set(got) == {(0, 1), (0, 4), (1, 1), (1, 4), (2, 2), (5, 2), (5, 3)}
+    assert got[0, 1] == (1.0, "three short words") and got[2, 2] == (1.0, "one")
+
+
 def test_empty_tables(spark):
     assert found(spark, [], [(1, "a b")]) == {} and found(spark, ["a b"], []) == {}
 
