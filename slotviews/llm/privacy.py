@@ -19,6 +19,9 @@ PATTERNS = {
 }
 #: tokens that can be an identifier: with a digit or an at sign
 CANDIDATE = r"(?<!\S)\S*[0-9@]\S*"
+#: stands for such a token among the words before another
+NEIGHBOUR = "<id>"
+#: of a word in a context, at most
 CONTEXT_CHARS = 64
 ROUNDS = 3
 MIN_SEEDS = 5
@@ -89,29 +92,54 @@ def _word(text: Column) -> Column:
     return F.lower(F.regexp_replace(text, "^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$", ""))
 
 
+def _last_words(gap: Column) -> Column:
+    """The last two words of what stands before a token, as they are."""
+    words = F.substring_index(F.trim(F.regexp_replace(gap, "\\s++", " ")), " ", -2)
+    return F.transform(F.filter(F.split(words, " "), lambda w: w != ""), lambda w: F.right(w, F.lit(CONTEXT_CHARS)))
+
+
+def _pattern(found: Column, mention: Column, i: Column) -> Column:
+    """The two words before a mention; a mention among them is NEIGHBOUR.
+
+    Punctuation alone counts as a word, but shows only where there is nothing else.
+    """
+    none, one = F.array().cast("array<string>"), F.array(F.lit(NEIGHBOUR))
+    earlier = F.concat(F.when(i > 1, one).otherwise(none), F.when(i > 0, F.concat(F.get(found, i - 1)["words"], one)).otherwise(none))
+    before = F.slice(F.concat(F.array(F.lit(""), F.lit("")), F.when(F.size(mention["words"]) < 2, earlier).otherwise(none), mention["words"]), -2, 2)
+
+    def joined(before: Column) -> Column:
+        clean = F.array_join(F.transform(before, lambda w: F.when(w == NEIGHBOUR, w).otherwise(_word(w))), " ")
+        return let(clean, lambda c: F.when(F.trim(c) != "", c).otherwise(F.array_join(before, " ")))
+
+    return let(before, joined)
+
+
 def _mentions(text: Column, spans: Column) -> Column:
     """Identifier-like tokens, without punctuation around them: place, two words before, seed.
 
-    A base span is one mention, with its own text, whatever tokens it is made of.
+    A base span is one mention, with its own text, whatever tokens it is made of. Only the
+    first token of a text has no words before it, and so nothing to learn from: it is left out.
     """
 
     def mention(m):
         head = F.length(F.regexp_extract(m["match"], "^[(\\[{<\"'=:]*", 0))
         tail = F.length(F.regexp_extract(m["match"], "[)\\]}>\"'.,;:!?]*$", 0))
         start, end = m["start"] + head, m["end"] - tail
-        before = F.split(F.rtrim(F.right(m["gap"], F.lit(CONTEXT_CHARS))), "\\s+")
-        pattern = F.concat_ws(" ", F.coalesce(_word(F.get(before, F.size(before) - 2)), F.lit("")), F.coalesce(_word(F.get(before, F.size(before) - 1)), F.lit("")))
         own = F.substring(m["match"], head + 1, F.greatest(F.length(m["match"]) - head - tail, F.lit(0)))
         seed = F.get(F.filter(spans, lambda s: (s["start"] < end) & (s["end"] > start)), F.lit(0))
 
         def row(seed: Column) -> Column:
             whole = F.substring(text, (seed["start"] + 1).cast("int"), (seed["end"] - seed["start"]).cast("int"))
             inner = F.coalesce(start > seed["start"], F.lit(False))
-            return F.struct(start.alias("start"), end.alias("end"), F.lower(F.coalesce(whole, own)).alias("value"), pattern.alias("pattern"), seed["kind"].alias("seed"), inner.alias("inner"))
+            return F.struct(start.alias("start"), end.alias("end"), F.lower(F.coalesce(whole, own)).alias("value"), _last_words(m["gap"]).alias("words"), seed["kind"].alias("seed"), inner.alias("inner"))
 
         return let(seed, row)
 
-    found = F.filter(F.transform(occurrences(text, CANDIDATE), mention), lambda m: (m["end"] > m["start"]) & ~m["inner"] & (F.trim(m["pattern"]) != ""))
+    def placed(found: Column) -> Column:
+        return F.transform(found, lambda m, i: F.struct(m["start"], m["end"], m["value"], _pattern(found, m, i).alias("pattern"), m["seed"], m["inner"]))
+
+    found = F.filter(F.transform(occurrences(text, CANDIDATE), mention), lambda m: (m["end"] > m["start"]) & ~m["inner"])
+    found = F.filter(let(found, placed), lambda m: F.trim(m["pattern"]) != "")
     return F.when(text.rlike("[0-9@]"), found)
 
 
@@ -148,7 +176,7 @@ def personal_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     ``base`` has what the fixed patterns find, ``spans`` adds what contexts find: tokens
     with a digit or an at sign become mentions, with the two words before them as their
-    lexical pattern. Base spans are the seeds. Patterns and instances score each other in
+    lexical pattern; a mention among these words is the word NEIGHBOUR. Base spans are the seeds. Patterns and instances score each other in
     ROUNDS rounds; a pattern with at least MIN_SEEDS different seeds of one kind and a
     score of MIN_SCORE finds every mention that looks like its kind. Texts are read once
     and never shuffled; the graph is made of their mentions.

@@ -59,6 +59,27 @@ def test_contexts_find_more(spark):
     assert all(rows[i].s == rows[i].b != "" for i in range(40))
 
 
+def test_mentions_in_a_row_have_contexts(spark):
+    texts = ["accounts 123456789, 987654321, 456789123 and 5", "| name | 11 | 22 |\n| 33 | | 44 |", "see 1\n2\n\n3", "9 first", "call me 7 or 8", "tel +49 30 123456789 then 6", "a " + "w" * 90 + " 4", None, ""]
+    rows = documents(spark, texts).select("doc_id", privacy._mentions(F.coalesce("text", F.lit("")), privacy.base_spans(F.coalesce("text", F.lit("")))).alias("m")).collect()
+    got = {r.doc_id: [(m.value, m.pattern) for m in r.m or ()] for r in rows}
+    assert got[0] == [("123456789", " accounts"), ("987654321", "accounts <id>"), ("456789123", "<id> <id>"), ("5", "<id> and")]
+    assert got[1] == [("11", "name "), ("22", "<id> "), ("33", "| |"), ("44", "| |")]
+    assert got[2] == [("1", " see"), ("2", "see <id>"), ("3", "<id> <id>")]
+    assert got[3] == [] and got[4] == [("7", "call me"), ("8", "<id> or")]
+    assert got[5] == [("+49 30 123456789", " tel"), ("6", "<id> then")]
+    assert got[6] == [("4", "a " + "w" * 64)]
+    assert got[7] == got[8] == []
+
+
+def test_a_list_of_unseen_identifiers_is_found(spark):
+    texts = [f"our lines: +49 30 1234{i:04d}, +49 40 1234{i:04d}, +49 50 1234{i:04d}" for i in range(40)]
+    texts += ["our lines: 030-555-0199-12, 040-555-0199-13, 050-555-0199-14"]
+    rows = {r.doc_id: r.s for r in privacy.personal_spans(documents(spark, texts)).select("doc_id", privacy.listed(F.col("spans")).alias("s")).collect()}
+    want = [f"phone:{m.start()}:{m.end()}" for m in re.finditer(r"0[0-9-]+", texts[40])]
+    assert rows[40] == ",".join(want) and len(want) == 3
+
+
 def test_masking(spark):
     texts = ["mail me@ex.org or +44 20 7946 0958.", "nothing", None, "", "🙂 1.2.3.4"]
     docs = documents(spark, texts)
