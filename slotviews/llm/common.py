@@ -29,6 +29,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(spark: SparkSession, path: str) -> None:
+    """Removes a folder of ``scratch_path`` that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -71,6 +77,21 @@ def running(lengths: Column, chunk: int = 256) -> Column:
     return let(lengths, within)
 
 
+#: with larger components a sum of squares or products of 64 of them could leave 64 bits
+LARGEST = 2**27
+
+
+def scaled(vector: Column, scale: int) -> Column:
+    """The floor of ``scale`` times each component; null where that is no integer up to LARGEST."""
+    of = lambda x: x.cast("double") * scale
+    return F.transform(vector, lambda x: F.when(F.abs(of(x)) <= LARGEST, F.floor(of(x))))
+
+
+def whole(vector: Column) -> Column:
+    """Whether an array is there and all its components are integers up to LARGEST."""
+    return F.coalesce(F.forall(vector, lambda x: x.isNotNull() & (F.abs(x) <= LARGEST)), F.lit(False))
+
+
 # ---------------------------------------------------------------- texts in tasks
 
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotviews.llm import chat, decontam, fingerprints, jaccard, langid, packing, privacy, substrings, suffixes, warc
-from slotviews.llm.common import table, with_next
+from slotviews.llm import centroids, chat, decontam, fingerprints, jaccard, langid, negatives, packing, privacy, substrings, suffixes, urlrules, warc
+from slotviews.llm.common import scaled, table, with_next
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -135,6 +135,87 @@ def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
+#: rules by host and path; they decide before all others
+HOST_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+#: patterns of advertising, gambling, adult and spam pages and of pages without prose
+PATTERNS = (
+    (".ads-", "block"), ("-ads.", "block"), (".ads.", "block"), ("/ads/", "block"), ("/ads/transparency/", "allow"), ("/adserver/", "block"), ("||doubleclick.net^", "block"),
+    (".tracker.", "block"), ("-track.", "block"), (".spam-", "block"), ("-spam.", "block"), ("/spam/", "block"), ("/anti-spam/", "allow"),
+    (".casino-", "block"), ("-casino.", "block"), (".casino.", "block"), ("/casino/", "block"), ("-bets.", "block"), (".bets-", "block"), ("/betting/", "block"), ("/poker/", "block"),
+    ("-pills.", "block"), (".pills-", "block"), ("/pills/", "block"), ("-pharmacy.", "block"), (".adult-", "block"), ("-adult.", "block"), ("/adult/", "block"), ("/adult/education/", "allow"), (".porn", "block"), ("xxx.", "block"),
+    ("/wp-login.php^", "block"), ("/xmlrpc.php^", "block"), ("/cgi-bin/", "block"), ("/cart/checkout^", "block"), (".exe|", "block"), (".apk|", "block"), (".zip|", "block"), (".torrent|", "block"),
+    ("?phpsessid=", "block"), ("^jsessionid=", "block"), ("^replytocom=", "block"), ("/feed/*/comments^", "block"), ("||*.example.org/en/404^", "block"),
+)
+
+
+def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = [(rule, "||" + rule, action, 1, False) for rule, action in HOST_RULES]
+    rules += [(pattern, pattern, action, 0, True) for pattern, action in PATTERNS]
+    rows = urlrules.judge(table(spark, sf_dir, "pages"), spark.createDataFrame(rules, urlrules.RULES))
+    return rows.select("page_id", "host", "path", F.when(F.col("level") == 1, F.col("rule")).alias("rule"), "verdict", "pattern")
+
+
+OP11_SQL = r"""
+WITH cut AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+parts AS (
+  SELECT page_id, rest IS NOT NULL AS there, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path, coalesce(regexp_extract(rest, '(?s)^[^/?#]*(.*)', 1), '') AS tail FROM cut),
+rules(host, path, action) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+fits AS (SELECT page_id, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(action, length(r.host || r.path)) AS action
+  FROM (SELECT DISTINCT page_id, p.host, p.path FROM parts p) p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path) GROUP BY page_id),
+patterns(pattern, action, regex) AS (VALUES
+  ('.ads-', 'block', '\.ads-'), ('-ads.', 'block', '-ads\.'), ('.ads.', 'block', '\.ads\.'), ('/ads/', 'block', '/ads/'), ('/ads/transparency/', 'allow', '/ads/transparency/'), ('/adserver/', 'block', '/adserver/'),
+  ('||doubleclick.net^', 'block', '^[^/?#]*\.doubleclick\.net([^a-zA-Z0-9_.%-]|$)'), ('.tracker.', 'block', '\.tracker\.'), ('-track.', 'block', '-track\.'), ('.spam-', 'block', '\.spam-'), ('-spam.', 'block', '-spam\.'),
+  ('/spam/', 'block', '/spam/'), ('/anti-spam/', 'allow', '/anti-spam/'), ('.casino-', 'block', '\.casino-'), ('-casino.', 'block', '-casino\.'), ('.casino.', 'block', '\.casino\.'), ('/casino/', 'block', '/casino/'),
+  ('-bets.', 'block', '-bets\.'), ('.bets-', 'block', '\.bets-'), ('/betting/', 'block', '/betting/'), ('/poker/', 'block', '/poker/'), ('-pills.', 'block', '-pills\.'), ('.pills-', 'block', '\.pills-'), ('/pills/', 'block', '/pills/'),
+  ('-pharmacy.', 'block', '-pharmacy\.'), ('.adult-', 'block', '\.adult-'), ('-adult.', 'block', '-adult\.'), ('/adult/', 'block', '/adult/'), ('/adult/education/', 'allow', '/adult/education/'), ('.porn', 'block', '\.porn'), ('xxx.', 'block', 'xxx\.'),
+  ('/wp-login.php^', 'block', '/wp-login\.php([^a-zA-Z0-9_.%-]|$)'), ('/xmlrpc.php^', 'block', '/xmlrpc\.php([^a-zA-Z0-9_.%-]|$)'), ('/cgi-bin/', 'block', '/cgi-bin/'), ('/cart/checkout^', 'block', '/cart/checkout([^a-zA-Z0-9_.%-]|$)'),
+  ('.exe|', 'block', '\.exe$'), ('.apk|', 'block', '\.apk$'), ('.zip|', 'block', '\.zip$'), ('.torrent|', 'block', '\.torrent$'), ('?phpsessid=', 'block', '[?]phpsessid='), ('^jsessionid=', 'block', '([^a-zA-Z0-9_.%-]|$)jsessionid='),
+  ('^replytocom=', 'block', '([^a-zA-Z0-9_.%-]|$)replytocom='), ('/feed/*/comments^', 'block', '/feed/.*/comments([^a-zA-Z0-9_.%-]|$)'), ('||*.example.org/en/404^', 'block', '^[^/?#]*\..*\.example\.org/en/404([^a-zA-Z0-9_.%-]|$)')),
+seen AS (SELECT DISTINCT '.' || host || tail AS subject FROM parts WHERE there),
+matched AS (SELECT subject, first(pattern ORDER BY length(pattern) DESC, action, pattern) AS pattern, first(action ORDER BY length(pattern) DESC, action, pattern) AS action
+  FROM seen, patterns WHERE regexp_matches(subject, regex, 'is') GROUP BY subject)
+SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.action, m.action, 'allow') AS verdict, coalesce('||' || f.rule, m.pattern) AS pattern
+FROM parts p LEFT JOIN fits f USING (page_id) LEFT JOIN matched m ON p.there AND m.subject = '.' || p.host || p.tail
+"""
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), scaled(F.col("embedding"), 256).alias("v"))
+    return negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
+OP12_SQL = """
+WITH usable AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) for x in embedding] AS v
+  FROM embeddings WHERE label IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+pairs AS MATERIALIZED (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score FROM usable a, usable b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positives AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM pairs WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INTEGER AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN pairs USING (anchor_id) WHERE NOT same AND 100 * score BETWEEN 50 * positive_score AND 95 * positive_score QUALIFY rank <= 3
+"""
+
+
+def op13_drift_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = centroids.integer_vectors(table(spark, sf_dir, "embeddings"), 64, 256)
+    rows = centroids.with_inertia(*centroids.cluster(vectors, centroids.seeds(vectors, 40, "2"), 5))
+    printed = F.array_join(F.col("centroid").cast("array<string>"), ",")
+    return rows.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(printed, 256).alias("centroid_sha256"))
+
+
+_ROUND = """
+a{n} AS MATERIALIZED (SELECT vec_id, v, k, list_dot_product(v, v) - 2 * list_dot_product(v, c) + list_dot_product(c, c) AS d FROM kept, c{n} QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, k) = 1),
+m{n} AS (SELECT k, pos, floor(sum(x) / count(*)) AS mean FROM (SELECT k, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM a{n}) GROUP BY k, pos),
+c{next} AS MATERIALIZED (SELECT k, coalesce(l.c, old.c) AS c FROM c{n} old LEFT JOIN (SELECT k, list(mean ORDER BY pos) AS c FROM m{n} GROUP BY k) l USING (k)),"""
+OP13_SQL = """
+WITH kept AS MATERIALIZED (SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS k, v AS c FROM kept QUALIFY k < 40),""" + "".join(_ROUND.format(n=n, next=n + 1) for n in range(6)) + """
+named AS (SELECT k, sha256(array_to_string([x::BIGINT for x in c], ',')) AS centroid_sha256 FROM c5)
+SELECT vec_id, k::INTEGER AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY k))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia, centroid_sha256 FROM a5 JOIN named USING (k)
+"""
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_chat_preference": (op1_chat_preference, OP1_SQL),
     "op2_multiset_fingerprint": (op2_multiset_fingerprint, None),
@@ -146,6 +227,9 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_language_codes": (op8_language_codes, None),
     "op9_sum_of_squares_packing": (op9_sum_of_squares_packing, None),
     "op10_warc_index": (op10_warc_index, None),
+    "op11_url_rules": (op11_url_rules, OP11_SQL),
+    "op12_hard_negatives": (op12_hard_negatives, OP12_SQL),
+    "op13_drift_kmeans": (op13_drift_kmeans, OP13_SQL),
 }
 
 
