@@ -76,6 +76,20 @@ def range_join_normalized(spark, sf_dir):
     return join_contained(leads, offers, ["session"], "epoch_ms", "next_ms", "offer_ms")
 
 
+@check(
+    f"""WITH e AS ({EVENTS_SQL}),
+    stays AS (SELECT user_id, event_id AS stay_id, epoch_ms AS from_ms, epoch_ms + (k % 23) * (k % 29) * 3600000 AS to_ms FROM e WHERE event_type = 'view')
+    SELECT c.event_id, c.user_id, c.epoch_ms, s.stay_id, s.from_ms, s.to_ms
+    FROM e c LEFT JOIN stays s ON c.user_id = s.user_id AND c.epoch_ms BETWEEN s.from_ms AND s.to_ms WHERE c.event_type <> 'view'"""
+)
+def range_join_overlapping(spark, sf_dir):
+    rows = events(spark, sf_dir)
+    length = (F.col("k") % 23) * (F.col("k") % 29) * 3600000
+    stays = rows.where("event_type = 'view'").select("user_id", F.col("event_id").alias("stay_id"), F.col("epoch_ms").alias("from_ms"), (F.col("epoch_ms") + length).alias("to_ms"))
+    points = rows.where("event_type <> 'view'").select("event_id", "user_id", "epoch_ms")
+    return join_containing(points, stays, ["user_id"], "epoch_ms", "from_ms", "to_ms")
+
+
 @check(
     """SELECT o.o_orderkey, o.o_custkey, c.c_name, s.s_name
     FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey AND c.c_acctbal > 0

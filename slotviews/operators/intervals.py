@@ -1,11 +1,12 @@
 """Next-event and interval joins that hold when one key has most of the rows.
 
 The plain forms are a theta self join (quadratic per key) or a window over the whole
-key (one task per key). Here time is cut into spans. Inside a span a key has at most
-one *distinct* time per time unit, so after ``distinct`` a window group is bounded by
-the span length whatever the data volume; a second, much smaller window per key
-carries the edge value from one non-empty span to the next. Rows are then joined back
-by (keys, time), which spreads a hot key over all partitions.
+key (one task per key). Here time is cut into spans. For next events: inside a span a
+key has at most one *distinct* time per time unit, so after ``distinct`` a window group
+is bounded by the span length whatever the data volume; a second, much smaller window per
+key carries the edge value from one non-empty span to the next. Rows are then joined back
+by (keys, time), which spreads a hot key over all partitions. For intervals: a binned
+equi join, see ``matches``.
 """
 
 from __future__ import annotations
@@ -81,7 +82,29 @@ def next_event(
     )
 
 
-def locate(
+def _bins(span: int) -> tuple[int, ...]:
+    """Widths of the bin levels; above the last one a key has a single bin."""
+    return span, 24 * span, 24 * 32 * span
+
+
+def _level(start: Column, end: Column, widths: Sequence[int]) -> Column:
+    """The first level at which an interval touches at most 33 bins."""
+    length = F.try_subtract(end, start)  # null where it leaves 64 bits: the last level
+    level = F.lit(len(widths))
+    for number in reversed(range(len(widths))):
+        level = F.when(length <= F.lit(32 * widths[number]), F.lit(number)).otherwise(level)
+    return level
+
+
+def _bin(t: Column, level: Column, widths: Sequence[int]) -> Column:
+    """A bin's number; it never falls as time grows, so an interval touches those of its ends and all between."""
+    number = F.lit(0).cast("bigint")
+    for at, width in enumerate(widths):
+        number = F.when(level == at, F.floor(t / F.lit(width))).otherwise(number)
+    return number
+
+
+def matches(
     points: DataFrame,
     intervals: DataFrame,
     keys: Sequence[str],
@@ -89,48 +112,36 @@ def locate(
     start: str,
     end: str,
     span: int = SPAN_MS,
+    salts: int = 1,
 ) -> DataFrame:
-    """Which interval starts hold which point times: (keys, time, start).
-
-    ``intervals`` must come from :func:`next_event` over the same keys: they follow
-    one another, so a point lies in the latest one that has started and, if it sits
-    exactly on a boundary, also in the one that ends there. Both ends are inclusive.
-    Each point therefore has at most two starts and no pair of rows is compared.
+    """Inner join: each pair of a point row and an interval row that contains its time.
+
+    Both ends are inclusive; intervals may overlap, repeat and be of any length. Time is
+    cut into bins at several levels, each level's wider than the last. An interval is
+    listed in the bins it touches at the one level where these are few, a point in its bin
+    of every level, so a pair meets once, in an equi join on keys, level and bin. Long
+    intervals thus cost a few rows and short ones compare with few points. A key with most
+    of the points is spread by time; with ``salts`` its points in one bin are dealt over as
+    many groups, and intervals are listed in each.
+
+    Rows with a null key or time match nothing, nor do intervals that end before they
+    start. Columns other than the keys must not clash; the keys are the points'.
     """
-    marks = points.select(*keys, F.col(time).alias(_T), F.lit(True).alias("__point"), F.lit(None).cast("bigint").alias("__end"))
-    marks = marks.unionByName(
-        intervals.select(*keys, F.col(start).alias(_T), F.lit(False).alias("__point"), F.col(end).cast("bigint").alias("__end"))
-    ).where(_all_present([*keys, _T]))
-    marks = _spanned(marks, span)
-    marks = marks.groupBy(*keys, _SPAN, _T).agg(F.max("__point").alias("__point"), F.max("__end").alias("__end"))
-    opened = F.when(F.col("__end").isNotNull(), F.struct(F.col(_T).alias("start"), F.col("__end").alias("end")))
-
-    inside = W.partitionBy(*keys, _SPAN).orderBy(_T)
-    upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
-    before = inside.rowsBetween(W.unboundedPreceding, -1)
-    held = marks.select(*keys, _SPAN, _T, "__point", opened.alias("__opened")).withColumns(
-        {
-            "__latest": F.last("__opened", ignorenulls=True).over(upto),
-            "__previous": F.last("__opened", ignorenulls=True).over(before),
-            "__edge": F.lead(_T).over(inside).isNull(),
-        }
-    )
-    # What is open at the end of a span is carried to the key's later spans. The mark
-    # is never null: naming it keeps both branches' columns equal, so that the shuffle
-    # below them runs once.
-    earlier = W.partitionBy(*keys).orderBy(_SPAN).rowsBetween(W.unboundedPreceding, -1)
-    edges = held.where(F.col("__edge") & F.col("__point").isNotNull()).select(
-        *keys, _SPAN, F.last("__latest", ignorenulls=True).over(earlier).alias("__carry")
-    )
-    edges = _renamed(edges, [*keys, _SPAN], "__e_")
-    held = held.where("__point").join(edges, _equal([*keys, _SPAN], "__e_"), "left")
-    latest = F.coalesce("__latest", "__carry")
-    previous = F.when(F.col("__opened").isNotNull(), F.coalesce("__previous", "__carry"))
-    return (
-        held.select(*keys, F.col(_T).alias(time), F.explode(F.array(latest, previous)).alias("__hit"))
-        .where(F.col("__hit.end") >= F.col(time))
-        .select(*keys, time, F.col("__hit.start").alias(start))
-    )
+    widths = _bins(span)
+    p, s, e = F.col(time).cast("bigint"), F.col(start).cast("bigint"), F.col(end).cast("bigint")
+    levels = F.array(*map(F.lit, range(len(widths) + 1)))
+    left = points.where(_all_present([*keys, time])).withColumn("__level", F.explode(levels))
+    left = left.withColumn("__bin", _bin(p, F.col("__level"), widths))
+    left = left.withColumn("__salt", F.pmod(F.xxhash64(*points.columns), F.lit(salts)) if salts > 1 else F.lit(0).cast("bigint"))
+    right = intervals.where(_all_present([*keys, start, end]) & (F.col(start) <= F.col(end)))
+    right = right.withColumn("__level", _level(s, e, widths))
+    right = right.withColumn("__bin", F.explode(F.sequence(_bin(s, F.col("__level"), widths), _bin(e, F.col("__level"), widths))))
+    right = right.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    shared = [*keys, "__level", "__bin", "__salt"]
+    right = _renamed(right, shared, "__m_")
+    inside = (F.col(start) <= F.col(time)) & (F.col(time) <= F.col(end))
+    joined = left.join(right, _equal(shared, "__m_") & inside, "inner")
+    return joined.drop("__level", "__bin", "__salt", *[f"__m_{name}" for name in shared])
 
 
 def intervals_of_points(
@@ -143,9 +154,8 @@ def intervals_of_points(
     span: int = SPAN_MS,
 ) -> DataFrame:
     """Each interval row once per distinct point time in it; adds ``time``."""
-    hits = _renamed(locate(points, intervals, keys, time, start, end, span), [*keys, start], "__h_")
-    rows = hits.join(intervals, _equal([*keys, start], "__h_"), "inner")
-    return rows.drop(*[f"__h_{name}" for name in [*keys, start]])
+    times = points.select(*keys, time).distinct()
+    return matches(times, intervals, keys, time, start, end, span)
 
 
 def points_in_intervals(
@@ -156,11 +166,11 @@ def points_in_intervals(
     start: str,
     end: str,
     span: int = SPAN_MS,
+    salts: int = 1,
 ) -> DataFrame:
-    """Each point row once per distinct interval start around it; adds ``start``."""
-    hits = _renamed(locate(points, intervals, keys, time, start, end, span), [*keys, time], "__h_")
-    rows = hits.join(points, _equal([*keys, time], "__h_"), "inner")
-    return rows.drop(*[f"__h_{name}" for name in [*keys, time]])
+    """Each point row once per distinct interval around it; adds ``start`` and ``end``."""
+    ends = intervals.select(*keys, start, end).distinct()
+    return matches(points, ends, keys, time, start, end, span, salts)
 
 
 def attach(left: DataFrame, tagged: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -181,6 +191,8 @@ def join_containing(
 ) -> DataFrame:
     """Left join: each point row with every interval row that contains its time.
 
+    Intervals may overlap; see ``matches``. Rows of the points meet only their own result,
+    by keys and time, so rows that cannot match and a hot key are split as in any join.
     Columns of ``intervals`` other than the keys must not clash with the points'.
     """
     tagged = intervals_of_points(points, intervals, keys, time, start, end, span)
@@ -195,10 +207,12 @@ def join_contained(
     end: str,
     time: str,
     span: int = SPAN_MS,
+    salts: int = 1,
 ) -> DataFrame:
     """Left join: each interval row with every point row inside it.
 
-    Columns of ``points`` other than the keys must not clash with the intervals'.
+    Intervals may overlap; see ``matches``. ``salts`` deals the points of one key and bin
+    over several groups. Columns of ``points`` other than the keys must not clash with the intervals'.
     """
-    tagged = points_in_intervals(points, intervals, keys, time, start, end, span)
-    return attach(intervals, tagged, [*keys, start])
+    tagged = points_in_intervals(points, intervals, keys, time, start, end, span, salts)
+    return attach(intervals, tagged, [*keys, start, end])

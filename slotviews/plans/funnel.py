@@ -227,7 +227,7 @@ Staged = Callable[[DataFrame, str], DataFrame]
 def invited_journeys(web: DataFrame, chat: DataFrame, hot: DataFrame, span: int, staged: Staged) -> DataFrame:
     """Invitations tagged with their hot lead (``b_t``), and all that followed them."""
     offered = invitations(web).withColumns({"c_session": F.col("session"), "session": base_session(F.col("session"))})
-    rows = points_in_intervals(offered, hot, KEYS, "c_t", "b_t", "b_next", span)
+    rows = points_in_intervals(offered, hot, KEYS, "c_t", "b_t", "b_next", span).drop("b_next")
     in_session = {"app": "app", "tag": "tag", "session": "c_session"}
     rows = left_join_on(rows, responses(web), {**in_session, "d_invite": "c_invite"})
     rows = left_join_on(rows, forms_shown(web), in_session)
@@ -269,7 +269,7 @@ def journey_funnel(
     hot = staged(hot_leads(web, horizon, span), "hot_leads")
     pages = staged(page_loads(web, horizon, span), "page_loads")
     on_page = intervals_of_points(hot, pages, KEYS, "b_t", "a_t", "a_next", span)
-    noticed = points_in_intervals(notices(web), hot, KEYS, "l_t", "b_t", "b_next", span)
+    noticed = points_in_intervals(notices(web), hot, KEYS, "l_t", "b_t", "b_next", span).drop("b_next")
     invited = invited_journeys(web, chat, hot, span, staged)
     lead = [*KEYS, "b_t"]
     rows = attach(attach(attach(hot, on_page, lead), noticed, lead), invited, lead)
