@@ -32,10 +32,11 @@ def left_join_any(
 
     Each alternative maps right columns to left columns that must all be equal. An
     OR condition has no equi key, so Spark would compare every pair of rows. Here the
-    distinct left key tuples are matched by one equi join per alternative; a later
-    alternative leaves out what an earlier one has already matched, so the branches
-    are disjoint and row multiplicities stay exact without generated row ids. The
-    matches are then joined back by null-safe equality of the key tuple.
+    distinct left key tuples and the right rows are listed once for each alternative and
+    meet in one equi join, on the alternative's number and its keys. A pair that an earlier
+    alternative matches is left out of the later ones, so row multiplicities stay exact
+    without generated row ids. The matches are then joined back by null-safe equality of
+    the key tuple.
     """
     names = list(dict.fromkeys(name for keys in alternatives for name in keys.values()))
     tuples = left.select(*[F.col(name).alias(f"__l_{name}") for name in names]).distinct()
@@ -46,14 +47,35 @@ def left_join_any(
             result = result & (F.col(f"__l_{left_name}") == F.col(right_name))
         return result
 
-    matches = None
-    for i, keys in enumerate(alternatives):
-        branch = tuples.join(right, test(keys), "inner")
-        for earlier in alternatives[:i]:
-            branch = branch.where(~F.coalesce(test(earlier), F.lit(False)))
-        matches = branch if matches is None else matches.unionByName(branch)
+    def listed(rows: DataFrame, side: str, keys_of) -> DataFrame:
+        """The rows once for each alternative whose keys are all there; keys of the others are null."""
+        number = f"__{side}_a"
+        present = F.filter(F.array(*map(F.lit, range(len(alternatives)))), lambda i: _any([(i == n) & _present(keys_of(keys)) for n, keys in enumerate(alternatives)]))
+        rows = rows.withColumn(number, F.explode(present))
+        return rows.withColumns({f"__{side}_{n}_{k}": F.when(F.col(number) == n, F.col(name)) for n, keys in enumerate(alternatives) for k, name in enumerate(keys_of(keys))})
+
+    lefts = listed(tuples, "t", lambda keys: [f"__l_{name}" for name in keys.values()])
+    rights = listed(right, "r", list)
+    same = F.col("__t_a") == F.col("__r_a")
+    for n, keys in enumerate(alternatives):
+        for k in range(len(keys)):
+            same = same & F.col(f"__t_{n}_{k}").eqNullSafe(F.col(f"__r_{n}_{k}"))
+    for n, keys in enumerate(alternatives[:-1]):
+        same = same & ((F.col("__t_a") <= n) | ~F.coalesce(test(keys), F.lit(False)))
+    matches = lefts.join(rights, same, "inner").select(*tuples.columns, *right.columns)
 
     same = F.lit(True)
     for name in names:
         same = same & F.col(name).eqNullSafe(F.col(f"__l_{name}"))
     return left.join(matches, same, "left").drop(*[f"__l_{name}" for name in names])
+
+
+def _any(tests: Sequence[Column]) -> Column:
+    result = F.lit(False)
+    for test in tests:
+        result = result | test
+    return result
+
+
+def _present(names: Sequence[str]) -> Column:
+    return ~_any([F.col(name).isNull() for name in names])

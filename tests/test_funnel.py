@@ -1,6 +1,7 @@
 """The funnel over hand-made journeys."""
 
 import json
+import random
 
 import pytest
 from checks.tables import CHAT_TYPE, WEB_TYPE
@@ -8,7 +9,8 @@ from pyspark.sql import functions as F
 from tests.conftest import plan_of
 
 from slotviews.functions.flags import CANCEL_BUCKETS, CAUSES, STAGE_CAUSES, cancel_latency_flags, termination_flags
-from slotviews.plans.funnel import journey_funnel
+from slotviews.plans import funnel
+from slotviews.plans.funnel import journey_funnel, placed_marks
 
 KINDS = {
     "page": ("WebPageLoadEvent", {"pageURL": "/p"}),
@@ -149,3 +151,38 @@ def test_every_stage_and_cause(spark):
 def test_latency_needs_a_visitor_code(spark):
     flags = cancel_latency_flags(F.lit("OWNER_LEFT"), F.lit(1))
     assert sum(spark.range(1).select(*flags.values()).first()) == 0
+
+
+def test_events_are_read_once_and_rows_move_little(spark, tmp_path, monkeypatch):
+    parsed(spark, WEB, WEB_TYPE).write.parquet(f"{tmp_path}/raw-web")
+    parsed(spark, CHAT, CHAT_TYPE).write.parquet(f"{tmp_path}/raw-chat")
+    plans, store = [], funnel._store
+    monkeypatch.setattr(funnel, "_store", lambda rows, *rest: (plans.append(plan_of(rows)), store(rows, *rest))[1])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = journey_funnel(spark.read.parquet(f"{tmp_path}/raw-web"), spark.read.parquet(f"{tmp_path}/raw-chat"), staging=f"{tmp_path}/s")
+        plans.append(plan_of(found))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sum(plan.count("Exchange hashpartitioning") for plan in plans) <= 35
+    assert [plan.count("FileScan") for plan in plans if "header" in plan or "eventRaised" in plan] == [1, 1]
+
+
+@pytest.mark.parametrize("span", [1, 50, 100_000])
+def test_marks_belong_to_what_holds_at_their_time(spark, span):
+    draw = random.Random(span)
+    rows = []
+    for i in range(400):
+        key = "hot" if draw.random() < 0.6 else draw.choice(["a", "b", None])
+        rows.append((draw.choice(["hot", "page", "offer", "notice"]), "app", key, "s", draw.choice([None] + [draw.randrange(1500)] * 30)))
+    df = spark.createDataFrame(rows, "kind string, app string, tag string, session string, t bigint")
+    times = {(kind, tag): sorted({r[4] for r in rows if r[0] == kind and r[2] == tag and r[4] is not None}) for kind in ("hot", "page") for tag in ("hot", "a", "b")}
+
+    def holding(kind, tag, t, horizon=30):
+        starts = times[kind, tag]
+        return [s for s in starts if s <= t <= min([x for x in starts if x > s], default=s + horizon)]
+
+    want = {(tag, t): (sorted(holding("hot", tag, t)), sorted(holding("page", tag, t))) for _, _, tag, _, t in rows if tag is not None and t is not None}
+    got = {(r.tag, r.t): (sorted(r.leads), sorted(r.pages)) for r in placed_marks(df, 30, span).collect()}
+    assert got == want
