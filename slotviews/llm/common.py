@@ -52,6 +52,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores until no column is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("bigint"), lambda a, x: a + x)
 
@@ -77,6 +85,34 @@ def running(lengths: Column, chunk: int = 256) -> Column:
     return let(lengths, within)
 
 
+def running_max(values: Column, chunk: int = 256) -> Column:
+    """Largest value of an array from its start up to each element, in the way of ``running``."""
+
+    def within(values: Column) -> Column:
+        chunks = F.sequence(F.lit(0), F.floor(F.size(values) / chunk).cast("int"))
+        tops = F.transform(chunks, lambda c: F.array_max(F.slice(values, c * chunk + 1, F.lit(chunk))))
+        bases = let(tops, lambda t: F.transform(t, lambda _, c: F.array_max(F.slice(t, F.lit(1), c))))
+        own = lambda i: F.floor(i / chunk).cast("int")
+        return let(bases, lambda b: F.transform(values, lambda _, i: F.greatest(F.get(b, own(i)), F.array_max(F.slice(values, own(i) * chunk + 1, i % chunk + 1)))))
+
+    return let(values, within)
+
+
+PIECE = 4096
+
+
+def pieces(text: Column) -> Column:
+    """A text in pieces of PIECE characters, for ``cut``."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def cut(pieces: Column, start: Column, end: Column) -> Column:
+    """Characters ``start`` to ``end`` of a text in pieces; a substring would walk from the text's start each time."""
+    first = F.floor(start / PIECE).cast("int")
+    near = F.array_join(F.slice(pieces, first + 1, F.floor(end / PIECE).cast("int") - first + 1), "")
+    return F.substring(near, (start % PIECE + 1).cast("int"), (end - start).cast("int"))
+
+
 #: with larger components a sum of squares or products of 64 of them could leave 64 bits
 LARGEST = 2**27
 

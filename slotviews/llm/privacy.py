@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotviews.llm.common import let, running, stored
+from slotviews.llm.common import cut, let, pieces, running, running_max, stored
 
 #: kinds in the order in which spans with one start are listed
 KINDS = ("email", "ip", "card", "phone")
@@ -21,8 +21,12 @@ PATTERNS = {
 CANDIDATE = r"(?<!\S)\S*[0-9@]\S*"
 #: stands for such a token among the words before another
 NEIGHBOUR = "<id>"
-#: of a word in a context, at most
+#: stands before the first token of a text
+START = "<start>"
+#: longer words of a context are told apart by their digest
 CONTEXT_CHARS = 64
+#: spans of a text that are searched together
+SPANS = 256
 ROUNDS = 3
 MIN_SEEDS = 5
 MIN_SCORE = 0.8
@@ -95,13 +99,14 @@ def _word(text: Column) -> Column:
 def _last_words(gap: Column) -> Column:
     """The last two words of what stands before a token, as they are."""
     words = F.substring_index(F.trim(F.regexp_replace(gap, "\\s++", " ")), " ", -2)
-    return F.transform(F.filter(F.split(words, " "), lambda w: w != ""), lambda w: F.right(w, F.lit(CONTEXT_CHARS)))
+    return F.transform(F.filter(F.split(words, " "), lambda w: w != ""), lambda w: F.when(F.length(w) > CONTEXT_CHARS, F.sha2(w, 256)).otherwise(w))
 
 
 def _pattern(found: Column, mention: Column, i: Column) -> Column:
     """The two words before a mention; a mention among them is NEIGHBOUR.
 
-    Punctuation alone counts as a word, but shows only where there is nothing else.
+    Punctuation alone counts as a word, but shows only where there is nothing else. START
+    stands for the beginning of the text.
     """
     none, one = F.array().cast("array<string>"), F.array(F.lit(NEIGHBOUR))
     earlier = F.concat(F.when(i > 1, one).otherwise(none), F.when(i > 0, F.concat(F.get(found, i - 1)["words"], one)).otherwise(none))
@@ -109,38 +114,57 @@ def _pattern(found: Column, mention: Column, i: Column) -> Column:
 
     def joined(before: Column) -> Column:
         clean = F.array_join(F.transform(before, lambda w: F.when(w == NEIGHBOUR, w).otherwise(_word(w))), " ")
-        return let(clean, lambda c: F.when(F.trim(c) != "", c).otherwise(F.array_join(before, " ")))
+        bare = F.array_join(before, " ")
+        return let(clean, lambda c: F.when(F.trim(c) != "", c).when(F.trim(bare) != "", bare).otherwise(START))
 
     return let(before, joined)
 
 
+def _grouped(spans: Column) -> Column:
+    """Spans in groups of SPANS with the first start and the last end of each."""
+
+    def group(part: Column) -> Column:
+        return F.struct(F.get(part, F.lit(0))["start"].alias("first"), F.array_max(F.transform(part, lambda s: s["end"])).alias("last"), part.alias("spans"))
+
+    numbers = F.sequence(F.lit(0), F.floor(F.size(spans) / SPANS).cast("int"))
+    return F.transform(numbers, lambda g: let(F.slice(spans, g * SPANS + 1, F.lit(SPANS)), group))
+
+
+def _overlapping(groups: Column, start: Column, end: Column) -> Column:
+    """The first span that shares a character with start to end; only groups that reach there are looked into."""
+    near = F.filter(groups, lambda g: (g["first"] < end) & (g["last"] > start))
+    return F.get(F.flatten(F.transform(near, lambda g: F.filter(g["spans"], lambda s: (s["start"] < end) & (s["end"] > start)))), F.lit(0))
+
+
 def _mentions(text: Column, spans: Column) -> Column:
     """Identifier-like tokens, without punctuation around them: place, two words before, seed.
 
-    A base span is one mention, with its own text, whatever tokens it is made of. Only the
-    first token of a text has no words before it, and so nothing to learn from: it is left out.
+    A base span is one mention, with its own text, whatever tokens it is made of. Spans are
+    looked up in groups and texts are cut from pieces, so a long text costs little more than
+    its length.
     """
 
-    def mention(m):
+    def mention(m: Column, groups: Column, parts: Column) -> Column:
         head = F.length(F.regexp_extract(m["match"], "^[(\\[{<\"'=:]*", 0))
         tail = F.length(F.regexp_extract(m["match"], "[)\\]}>\"'.,;:!?]*$", 0))
         start, end = m["start"] + head, m["end"] - tail
         own = F.substring(m["match"], head + 1, F.greatest(F.length(m["match"]) - head - tail, F.lit(0)))
-        seed = F.get(F.filter(spans, lambda s: (s["start"] < end) & (s["end"] > start)), F.lit(0))
 
         def row(seed: Column) -> Column:
-            whole = F.substring(text, (seed["start"] + 1).cast("int"), (seed["end"] - seed["start"]).cast("int"))
+            whole = cut(parts, seed["start"], seed["end"])
             inner = F.coalesce(start > seed["start"], F.lit(False))
             return F.struct(start.alias("start"), end.alias("end"), F.lower(F.coalesce(whole, own)).alias("value"), _last_words(m["gap"]).alias("words"), seed["kind"].alias("seed"), inner.alias("inner"))
 
-        return let(seed, row)
+        return let(_overlapping(groups, start, end), row)
 
     def placed(found: Column) -> Column:
         return F.transform(found, lambda m, i: F.struct(m["start"], m["end"], m["value"], _pattern(found, m, i).alias("pattern"), m["seed"], m["inner"]))
 
-    found = F.filter(F.transform(occurrences(text, CANDIDATE), mention), lambda m: (m["end"] > m["start"]) & ~m["inner"])
-    found = F.filter(let(found, placed), lambda m: F.trim(m["pattern"]) != "")
-    return F.when(text.rlike("[0-9@]"), found)
+    # computed once for each text, outside the lambda of the mentions
+    once = F.struct(let(spans, _grouped).alias("groups"), pieces(text).alias("parts"))
+    rows = let(once, lambda o: F.transform(occurrences(text, CANDIDATE), lambda m: mention(m, o["groups"], o["parts"])))
+    found = F.filter(rows, lambda m: (m["end"] > m["start"]) & ~m["inner"])
+    return F.when(text.rlike("[0-9@]"), let(found, placed))
 
 
 def _shaped(kind: Column, value: Column) -> Column:
@@ -176,7 +200,8 @@ def personal_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     ``base`` has what the fixed patterns find, ``spans`` adds what contexts find: tokens
     with a digit or an at sign become mentions, with the two words before them as their
-    lexical pattern; a mention among these words is the word NEIGHBOUR. Base spans are the seeds. Patterns and instances score each other in
+    lexical pattern; a mention among these words is the word NEIGHBOUR, and START stands
+    where there are none. Base spans are the seeds. Patterns and instances score each other in
     ROUNDS rounds; a pattern with at least MIN_SEEDS different seeds of one kind and a
     score of MIN_SCORE finds every mention that looks like its kind. Texts are read once
     and never shuffled; the graph is made of their mentions.
@@ -206,11 +231,16 @@ def listed(spans: Column) -> Column:
 
 def masked(text: Column, spans: Column) -> Column:
     """The text with every stretch of touching spans replaced by its first kind in brackets."""
-    zero = F.struct(F.lit(0).cast("bigint").alias("end"), F.lit("").alias("out"))
 
-    def step(a, s):
-        fresh = s["start"] >= a["end"]
-        between = F.substring(text, (a["end"] + 1).cast("int"), (s["start"] - a["end"]).cast("int"))
-        return F.struct(F.greatest(a["end"], s["end"]).alias("end"), F.when(fresh, F.concat(a["out"], between, F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise(a["out"]).alias("out"))
+    def pieced(both: Column) -> Column:
+        parts, spans, ends = both["parts"], both["spans"], both["ends"]
+
+        def step(s: Column, i: Column) -> Column:
+            before = F.coalesce(F.when(i > 0, F.get(ends, i - 1)), F.lit(0).cast("bigint"))
+            return F.when(s["start"] >= before, F.concat(cut(parts, before, s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise("")
+
+        last = F.coalesce(F.element_at(ends, -1), F.lit(0).cast("bigint"))
+        return F.concat(F.array_join(F.transform(spans, step), ""), cut(parts, last, F.length(text).cast("bigint")))
 
-    return F.aggregate(spans, zero, step, lambda a: F.concat(a["out"], F.substring(text, (a["end"] + 1).cast("int"), F.length(text))))
+    once = F.struct(pieces(text).alias("parts"), spans.alias("spans"), running_max(F.transform(spans, lambda s: s["end"])).alias("ends"))
+    return F.when(text.isNotNull(), F.when(F.size(spans) == 0, text).otherwise(let(once, pieced)))
