@@ -85,25 +85,25 @@ def op3_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = substrings.dedup_units(table(spark, sf_dir, "documents"))
+    rows = substrings.dedup_units(table(spark, sf_dir, "documents"), separator=substrings.SENTENCE, min_words=15)
     spans = F.array_join(F.transform("removed", lambda r: F.concat_ws(":", r["start"], r["end"], r["first_id"])), ",")
     return rows.select("doc_id", "text", "n_units", "n_removed", spans.alias("removed"))
 
 
-OP4_SQL = """
-WITH units AS (SELECT doc_id, text, string_split(text, chr(10)) AS u FROM documents),
+OP4_SQL = r"""
+WITH units AS (SELECT doc_id, text, regexp_extract_all(text, '(?s).*?(?:\n|[.!?] )|.+\z') AS u FROM documents),
 flat AS (SELECT doc_id, unnest(u) AS unit, generate_subscripts(u, 1) AS pos FROM units),
-placed AS (SELECT *, sum(length(unit) + 1) OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS stop, trim(regexp_replace(lower(unit), '[^\\pL\\pN]+', ' ', 'g')) AS normal FROM flat),
+placed AS (SELECT *, sum(length(unit)) OVER (PARTITION BY doc_id ORDER BY pos) AS stop, trim(regexp_replace(lower(unit), '[^\pL\pN]+', ' ', 'g')) AS normal FROM flat),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY normal ORDER BY doc_id, pos) AS nth, first_value(doc_id) OVER (PARTITION BY normal ORDER BY doc_id, pos) AS first_id FROM placed),
-judged AS (SELECT *, nth > 1 AND length(normal) >= 1 AS gone FROM ranked)
-SELECT doc_id, coalesce(string_agg(unit, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text, count(*) AS n_units, count(*) FILTER (gone) AS n_removed,
+judged AS (SELECT *, nth > 1 AND len(string_split(normal, ' ')) >= 15 AS gone FROM ranked)
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(string_agg(unit, '' ORDER BY pos) FILTER (NOT gone), '') END AS text, count(unit) AS n_units, count(*) FILTER (gone) AS n_removed,
   coalesce(string_agg((stop - length(unit))::BIGINT::VARCHAR || ':' || stop::BIGINT::VARCHAR || ':' || first_id::VARCHAR, ',' ORDER BY pos) FILTER (gone), '') AS removed
-FROM judged GROUP BY doc_id
+FROM documents d LEFT JOIN judged j USING (doc_id) GROUP BY d.doc_id, d.text
 """
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.linked_components(table(spark, sf_dir, "documents"))
+    return jaccard.linked_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op6_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Removal of repeated lines or paragraphs, keeping the first occurrence."""
+"""Removal of repeated lines, paragraphs or sentences, keeping the first occurrence."""
 
 from __future__ import annotations
 
@@ -9,7 +9,9 @@ from slotviews.llm.common import running, stored
 
 LINE = "\\n"
 PARAGRAPH = "\\n(?:[ \\t\\r]*\\n)+"
-_GLUE = {LINE: "\n", PARAGRAPH: "\n\n"}
+#: parts of a line that a full stop, question or exclamation mark and a space end, with both
+SENTENCE = "(?s).*?(?:\\n|[.!?] )|.+\\z"
+_GLUE = {LINE: "\n", PARAGRAPH: "\n\n", SENTENCE: ""}
 
 
 def normalised(unit: Column) -> Column:
@@ -17,38 +19,45 @@ def normalised(unit: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(unit), "[^\\p{L}\\p{N}]+", " "))
 
 
-def dedup_units(docs: DataFrame, separator: str = LINE, min_chars: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_units(docs: DataFrame, separator: str = LINE, min_chars: int = 1, min_words: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each document: its kept text and the removed units with their offsets.
 
-    A text is cut at ``separator`` (LINE or PARAGRAPH); units whose normal form has at
-    least ``min_chars`` characters are grouped over all documents by a 256-bit digest. The
+    A text is cut at ``separator`` (LINE or PARAGRAPH), or into sentences, which never cross
+    a line and keep the space or line end behind them (SENTENCE). Units whose normal form
+    has at least ``min_chars`` characters and ``min_words`` words, as shorter ones repeat by
+    chance and are no passages, are grouped over all documents by a 256-bit digest. The
     occurrence with the smallest document id, then the smallest position, stays; all others
     go, also within one document. ``removed`` holds ``start`` and ``end`` (characters of the
     original text, end exclusive) and ``first_id``, the document that keeps the unit. Kept
-    units are joined by a line end, paragraphs by two.
+    units are joined by a line end, paragraphs by two, sentences by nothing. Sentences also
+    find a passage that stands between other words of a line.
 
     Digests are grouped with map-side minima, and only those of several units are joined
     back, so a unit that a third of the rows share is split like any skewed join side.
     Texts cross a shuffle once, when they meet their removals.
 
     A null text stays null with nothing removed; an empty one stays empty. Rows without
-    an id rank first. Rows with equal ids are told apart by their text; full repeats of
-    a row count as one and come back as often. Other columns are not read.
+    an id rank first. An empty text has no sentence, so nothing is removed. Rows with equal
+    ids are told apart by their text; full repeats of a row count as one and come back as
+    often. Other columns are not read.
     """
     if separator not in _GLUE:
-        raise ValueError("separator must be LINE or PARAGRAPH")
+        raise ValueError("separator must be LINE, PARAGRAPH or SENTENCE")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
-    cut = F.split(F.coalesce("text", F.lit("")), separator)
-    if separator == LINE:
+    text = F.coalesce("text", F.lit(""))
+    cut = F.regexp_extract_all(text, F.lit(SENTENCE), F.lit(0)) if separator == SENTENCE else F.split(text, separator)
+    if separator == SENTENCE:
+        gaps = F.array_repeat(F.lit(0), F.size("units"))
+    elif separator == LINE:
         gaps = F.array_repeat(F.lit(1), F.size("units"))
     else:
-        gaps = F.transform(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(f"({separator})"), F.lit(1)), lambda g: F.length(g))
+        gaps = F.transform(F.regexp_extract_all(text, F.lit(f"({separator})"), F.lit(1)), lambda g: F.length(g))
     sizes = F.zip_with("units", gaps, lambda u, g: F.length(u).cast("bigint") + F.coalesce(g, F.lit(0)))
-    begins = running(F.concat(F.array(F.lit(0).cast("bigint")), F.slice(sizes, F.lit(1), F.size("units") - 1)))
+    begins = running(F.concat(F.array(F.lit(0).cast("bigint")), F.slice(sizes, F.lit(1), F.greatest(F.size("units") - 1, F.lit(0)))))
     placed = F.zip_with("units", begins, lambda u, b: F.struct(u.alias("unit"), b.alias("start")))
     units = rows.withColumn("units", cut).select("doc_id", "h", F.posexplode(placed).alias("pos", "u"))
     units = units.select("doc_id", "h", "pos", "u.start", (F.col("u.start") + F.length("u.unit")).alias("end"), normalised(F.col("u.unit")).alias("normal"))
-    units = stored(units.filter(F.length("normal") >= min_chars).select("doc_id", "h", "pos", "start", "end", F.unhex(F.sha2("normal", 256)).alias("digest")), "units")
+    units = stored(units.filter((F.length("normal") >= min_chars) & (F.size(F.split("normal", " ")) >= min_words)).select("doc_id", "h", "pos", "start", "end", F.unhex(F.sha2("normal", 256)).alias("digest")), "units")
 
     place = F.struct("doc_id", "h", "pos")
     firsts = units.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "first")
