@@ -36,7 +36,7 @@ TILE = 1024  # classes of a chunk, about
 NO_ID = np.iinfo(np.int64).min
 
 _MOVED = "part int, block bigint, grams binary, owners binary, counts binary, docs binary, doc_owners binary, classes binary, sizes binary"
-_SETS = "doc_id bigint, class bigint, n int, grams binary, prefix array<bigint>"
+_SETS = "doc_id bigint, text_hash bigint, class bigint, n int, grams binary, prefix array<bigint>"
 
 
 def bands(percent: int) -> np.ndarray:
@@ -82,8 +82,8 @@ def _hash_texts(parts: int, words: int):
             order = np.argsort(part, kind="stable")
             grams, owners, bounds = grams[order], owners[order], np.searchsorted(part[order], np.arange(parts + 1))
             rows = [_row(p, block, grams=_low(grams[a:b]), owners=owners[a:b].tobytes()) for p, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if b > a]
-            doc_ids, doc_owners = zip(*docs, strict=True)
-            own = {"docs": np.array(doc_ids, np.int64).tobytes(), "doc_owners": np.array(doc_owners, np.uint16).tobytes()}
+            doc_ids, hashes, doc_owners = zip(*docs, strict=True)
+            own = {"docs": np.array(doc_ids + hashes, np.int64).tobytes(), "doc_owners": np.array(doc_owners, np.uint16).tobytes()}
             sizes = np.array([len(s) for s in sets], np.int32)
             rows.append(_row(block % parts, block, classes=np.array(list(ids), np.int64).tobytes(), sizes=sizes.tobytes(), **own))
             docs, ids, sets, held, block = [], {}, [], 0, block + 1
@@ -91,6 +91,7 @@ def _hash_texts(parts: int, words: int):
 
         for batch in batches:
             doc_ids = batch.column(0).fill_null(int(NO_ID)).to_numpy(zero_copy_only=False)
+            hashes = batch.column(2).to_numpy(zero_copy_only=False)
             for first, last, data, offsets in text_slices(batch.column(1)):
                 grams, bounds = Words(data, offsets).shingles(words)
                 for i in range(last - first):
@@ -100,7 +101,7 @@ def _hash_texts(parts: int, words: int):
                         ids[name] = len(ids)
                         sets.append(own)
                         held += len(own)
-                    docs.append((doc_ids[first + i], ids[name]))
+                    docs.append((doc_ids[first + i], hashes[first + i], ids[name]))
                     if held > BLOCK_NGRAMS or len(docs) >= BLOCK_CLASSES:
                         yield out()
         if docs:
@@ -162,16 +163,17 @@ def _sets(percent: int):
             grams, bounds = grams[order], np.searchsorted(owners[order], np.arange(len(classes) + 1))
             repeated = np.diff(bounds)
             prefix = sizes - -(-percent * sizes // 100) + 1 - (sizes - repeated)
+            docs, hashes = docs.reshape(2, -1)
             none = [None] * len(docs)
             ids = pa.array(docs, pa.int64(), mask=docs == NO_ID)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(classes[doc_owners]), pa.array(sizes[doc_owners]), pa.array(none, pa.binary()), pa.array(none, pa.list_(pa.int64()))], ["doc_id", "class", "n", "grams", "prefix"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(hashes), pa.array(classes[doc_owners]), pa.array(sizes[doc_owners]), pa.array(none, pa.binary()), pa.array(none, pa.list_(pa.int64()))], ["doc_id", "text_hash", "class", "n", "grams", "prefix"])
             out = []
             for c in np.flatnonzero((prefix > 0) & (repeated > 0)):
                 own = grams[bounds[c] : bounds[c + 1]]
                 out.append((int(classes[c]), int(sizes[c]), np.sort(own).tobytes(), own[: prefix[c]].view(np.int64).tolist()))
             for i in range(0, len(out), 2000):
                 c, n, g, p = zip(*out[i : i + 2000], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(c), pa.int64()), pa.array(c), pa.array(n, pa.int32()), pa.array(g, pa.binary()), pa.array(p, pa.list_(pa.int64()))], ["doc_id", "class", "n", "grams", "prefix"])
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(c), pa.int64()), pa.nulls(len(c), pa.int64()), pa.array(c), pa.array(n, pa.int32()), pa.array(g, pa.binary()), pa.array(p, pa.list_(pa.int64()))], ["doc_id", "text_hash", "class", "n", "grams", "prefix"])
 
     return task
 
@@ -262,7 +264,7 @@ def _compare(percent: int):
 
 
 def linked_components(docs: DataFrame, words: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` for each row.
+    """``(doc_id, n_shingles, component_id, text_hash, first)`` for each row.
 
     Words are runs of bytes other than white space, A-Z in lower case. A set has the
     distinct runs of ``words`` words; a shorter text has its whole sequence as one; a text
@@ -273,11 +275,13 @@ def linked_components(docs: DataFrame, words: int = 5, percent: int = 75, id_col
     N-grams are compared by 40 bits and the part they are dealt to, classes by 64 bits.
     Equal sets, also of repeated rows or of rows with equal ids, are linked. A row without
     an id is placed with its links, never names a component, and has none of its own.
-    Other columns are not read.
+    ``text_hash`` is ``xxhash64`` of the text; ``first`` marks the rows of a component with
+    the smallest id and, of those, the smallest hash, rows without an id last: one document,
+    as often as its row is given. Other columns are not read.
     """
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("hash", F.xxhash64("text"))
     dealt = rows.mapInArrow(_hash_texts(4 * parts, words), _MOVED).repartition(parts, "part")
     back = dealt.mapInArrow(_count, _MOVED).repartition(parts, "block")
     sets = stored(back.mapInArrow(_sets(percent), _SETS), "sets")
@@ -289,9 +293,11 @@ def linked_components(docs: DataFrame, words: int = 5, percent: int = 75, id_col
     tiles = _tiled(placed, percent).select("tile", "side", "class", "n", "grams").repartition(parts, "tile")
     groups = components(tiles.mapInArrow(_compare(percent), "a bigint, b bigint"))
 
-    members = sets.filter("grams IS NULL").select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "class")
+    members = sets.filter("grams IS NULL").select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "class", "text_hash")
     some = members.filter("n_shingles > 0").join(groups.withColumnRenamed("node", "class"), "class", "left")
     some = some.withColumn("root", F.coalesce("root", "class"))
-    least = some.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    some = some.join(least, "root").select("doc_id", "n_shingles", "component_id")
-    return some.unionByName(members.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    place = F.struct(F.col("doc_id").isNull().alias("lost"), "doc_id", "text_hash")
+    least = some.groupBy("root").agg(F.min(place).alias("least"))
+    some = some.join(least, "root").select("doc_id", "n_shingles", F.col("least.doc_id").alias("component_id"), "text_hash", place.eqNullSafe(F.col("least")).alias("first"))
+    lone = members.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "text_hash", F.lit(True).alias("first"))
+    return some.unionByName(lone)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotviews.llm.common import sent
+from slotviews.llm.common import sent, unused
 
 BUCKETS = 8192  # hashed n-grams of 1 to 3 bytes
 MOST_LANGUAGES = 256  # a model is LANGUAGES x BUCKETS counts on the driver; more is an error
@@ -147,5 +147,6 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", lead: float =
         rows = [(UNDETERMINED, 0.0, True) if t is None or not model.languages else (lambda d: (d[0], d[1], d[2] < lead))(model.decode(t)) for t in texts]
         return pd.DataFrame(rows, columns=["lang_pred", "score", "ambiguous"])
 
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score", "ambiguous")]
-    return docs.select(*kept, decode(lettered).alias("_said")).select(*kept, "_said.lang_pred", "_said.score", "_said.ambiguous")
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score", "ambiguous")]
+    said = unused(docs, "said")
+    return docs.select(*kept, decode(lettered).alias(said)).select(*kept, f"{said}.lang_pred", f"{said}.score", f"{said}.ambiguous")

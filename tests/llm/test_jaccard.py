@@ -21,7 +21,9 @@ def expected(ids, texts, percent=75):
 
 def found(df):
     rows = df.collect()
-    assert df.columns == ["doc_id", "n_shingles", "component_id"]
+    assert df.columns == ["doc_id", "n_shingles", "component_id", "text_hash", "first"]
+    firsts = [(r.doc_id, r.n_shingles) for r in rows if r["first"]]
+    assert sorted(firsts) == sorted((r.doc_id, r.n_shingles) for r in rows if r.doc_id == r.component_id)
     return {r.doc_id: (r.n_shingles, r.component_id) for r in rows}
 
 
@@ -95,3 +97,13 @@ def test_components_of_a_chain(spark):
     got = {r.node: r.root for r in components(edges).collect()}
     assert got == dict.fromkeys(order[:63], min(order[:63]))
     assert components(edges.limit(0)).count() == 0
+
+
+def test_first_of_a_group_with_equal_and_missing_ids(spark):
+    base, other = prose(61, 60), prose(62, 60)
+    texts = [base, base + " more", other, base + " most", other + " x", "", None, base]
+    rows = jaccard.linked_components(documents(spark, texts, [5, 5, 5, None, None, 7, None, 5])).collect()
+    firsts = [(r.doc_id, r.text_hash) for r in rows if r["first"] and r.n_shingles]
+    hashes = {t: h for t, h in documents(spark, texts).selectExpr("text", "xxhash64(text)").collect()}
+    assert sorted(firsts) == sorted([(5, h) for t in (min(base, base + " more", key=hashes.get), other) for h in [hashes[t]] * texts[:3].count(t)] + ([(5, hashes[base])] if hashes[base] < hashes[base + " more"] else []))
+    assert sum(r["first"] for r in rows if not r.n_shingles) == 2

@@ -6,6 +6,7 @@ import sys
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from helpers import SMALL, documents, odd_texts, table_rows
 from test_jaccard import expected as grouped
 from test_privacy import PLAIN, valid
@@ -100,6 +101,37 @@ def test_stages_on_odd_documents(spark):
         corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).collect()
 
 
+def test_columns_of_any_name_pass(spark):
+    import corpus_pipeline
+
+    texts = [t or "" for t in odd_texts()[3:9]] + ["mail me@ex.org please, my good friend"]
+    names = ["_id", "_h", "_spans", "_said", "said", "row", "mark_doc_id", "mark_text_hash", "mark_spans", "first", "hash", "class", "Mark_Spans_", "a.b"]
+    docs = documents(spark, texts).selectExpr("doc_id", "text", "lang", "n_chars", *[f"{i} AS `{name}`" for i, name in enumerate(names)])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        columns = docs.columns
+        docs = stage(spark, docs, SMALL)
+        assert docs.columns == columns
+    rows = docs.collect()
+    assert rows and all(tuple(r)[4:] == tuple(range(len(names))) for r in rows)
+    assert any(r.text.startswith("mail [EMAIL]") for r in rows)
+
+
+def test_documents_pass_where_no_language_is_known(spark):
+    import corpus_pipeline
+
+    docs = documents(spark, ["some words", "123", None]).withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.languages(spark, docs, SMALL).count() == 3
+
+
+def test_one_of_two_near_copies_under_one_id_stays(spark):
+    import corpus_pipeline
+
+    base = " ".join(f"word{i}" for i in range(80))
+    docs = documents(spark, [base, base + " end", base + " other end", "something else altogether here now"], [4, 4, None, 4])
+    rows = corpus_pipeline.near_duplicates(spark, docs, SMALL).collect()
+    assert len(rows) == 2 and {r.doc_id for r in rows} == {4} and "something else altogether here now" in {r.text for r in rows}
+
+
 def test_the_rest_works_without_this_package(tmp_path):
     copy = tmp_path / "repo"
     shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__", ".pytest_cache"))
