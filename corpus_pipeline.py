@@ -6,42 +6,54 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotviews.llm import decontam, jaccard, langid, packing, privacy
-from slotviews.llm.common import stored, table
+from slotviews.llm.common import stored, table, unused
 from slotviews.llm.queries import tokenizer_path
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose language can be told; see ``langid.predict``."""
+    """Keeps documents whose language can be told; see ``langid.predict``.
+
+    Where no row has a language to learn from, all documents stay.
+    """
     model = langid.train(docs.filter(~langid.held_out(F.col("doc_id"))))
-    said = langid.predict(docs.select(F.struct("*").alias("_row"), F.col("text")), model)
-    return said.filter("NOT ambiguous").select("_row.*")
+    if not model.languages:
+        return docs
+    said = langid.predict(docs.select(F.struct("*").alias("row"), F.col("text")), model)
+    return said.filter("NOT ambiguous").select("row.*")
+
+
+def marked(docs: DataFrame, marks: DataFrame, how: str) -> DataFrame:
+    """Joins ``marks`` with documents of the same ``doc_id`` and ``text_hash``; no column clashes."""
+    names = {c: unused(docs, f"mark_{c}") for c in marks.columns}
+    marks = marks.withColumnsRenamed(names)
+    same = docs["doc_id"].eqNullSafe(marks[names["doc_id"]]) & (F.xxhash64(docs["text"]) == marks[names["text_hash"]])
+    return docs.join(marks, same, how)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group that links connect.
+    """Keeps one document of each group that links connect: the smallest id, then text hash.
 
-    Rows that repeat throughout count once; rows without an id stay.
+    Rows that repeat throughout count once; rows without an id go to any other of their group.
     """
-    groups = jaccard.linked_components(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(groups, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates()
-    return kept.unionByName(docs.filter("doc_id IS NULL"))
+    first = jaccard.linked_components(docs).filter("first").select("doc_id", "text_hash").distinct()
+    return marked(docs, first, "left_semi").dropDuplicates()
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a passage of the benchmark."""
     hits = decontam.benchmark_hits(docs, table(spark, sf_dir, "benchmark"), short_items=True)
-    hits = hits.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h")).distinct()
-    return docs.join(hits, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_h")), "left_anti")
+    return marked(docs, hits.select("doc_id", "text_hash").distinct(), "left_anti")
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks personal data in the texts."""
-    spans = privacy.personal_spans(docs).filter(F.size("spans") > 0)
-    spans = spans.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h"), F.col("spans").alias("_spans")).dropDuplicates(["_id", "_h"])
-    joined = docs.join(spans, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_h")), "left")
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(privacy.masked(F.col("text"), F.col("_spans")))
-    rows = joined.withColumn("text", text)
-    return rows.withColumn("n_chars", F.length("text").cast("bigint")).select(docs.columns) if "n_chars" in docs.columns else rows.select(docs.columns)
+    found = privacy.personal_spans(docs).filter(F.size("spans") > 0).select("doc_id", "text_hash", "spans").dropDuplicates(["doc_id", "text_hash"])
+    spans = F.col(unused(docs, "mark_spans"))
+    text = F.when(spans.isNull(), F.col("text")).otherwise(privacy.masked(F.col("text"), spans))
+    rows = marked(docs, found, "left").withColumn("text", text)
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.length("text").cast("bigint"))
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
