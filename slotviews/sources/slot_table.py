@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import uuid
 from collections import Counter, defaultdict
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,6 +102,18 @@ def slots_to_write(df: DataFrame, epoch_column: str) -> DataFrame:
     return with_slot_columns(df.select(epoch_column), epoch_column).select(*SLOT_COLUMNS).distinct()
 
 
+@contextmanager
+def _all_partitions(spark: SparkSession) -> Iterator[None]:
+    """Keeps a rebalance from merging small partitions: a slot is a file to make, however few its rows."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def write_slots(
     df: DataFrame,
     location: str,
@@ -118,8 +131,9 @@ def write_slots(
     what their slot already holds). Without a window every slot is appended to.
 
     Rows are written once, to a staging folder beside the target, with a REBALANCE on
-    the slot: a slot's rows meet in one task, and a slot with most of the rows is split
-    over several. Complete with markers, the staged folders are then renamed from the
+    the slot: a slot's rows meet in one task, a slot with most of the rows is split over
+    several, and slots are dealt over all shuffle partitions, as thousands of small files
+    take longer than their bytes. Complete with markers, the staged folders are then renamed from the
     driver: whole days and hours where nothing else is there to stay, else single slots.
     This needs a file system with folders that are renamed in one step, such as HDFS or
     an object store with a hierarchical namespace; a flat object store would copy them.
@@ -144,7 +158,8 @@ def write_slots(
         writer = writer.options(**_CSV)
     files = Files(spark, location)
     try:
-        writer.save(staging)
+        with _all_partitions(spark):
+            writer.save(staging)
         return _publish(spark, files, staging, location, client, start, end, outside)
     finally:
         files.delete(staging)
@@ -167,8 +182,9 @@ def _publish(spark, files: Files, staging: str, location: str, client: str, star
             raise WriteError(f"{len(beyond)} slots outside the window, first {beyond[0]}")
 
     target = f"{location}/client={client}"
-    # no slot that changes may look complete while it does, whether in the window or not
-    touched = set(stored) | set(staged)
+    # no slot that changes may look complete while it does, whether in the window or not;
+    # slots of the window that were not listed have no marker to remove
+    touched = set(stored) | (set(staged) - window)
     files.each(lambda folder: files.delete(f"{target}/{folder}/{MARKER}"), sorted(touched))
     files.each(lambda path: files.touch(f"{path}/{MARKER}"), staged.values())
 
