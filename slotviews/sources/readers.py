@@ -8,6 +8,7 @@ sure that the sample's fields exist whatever the data holds.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
@@ -42,6 +43,46 @@ def schema_of_sample(spark: SparkSession, sample: str) -> T.StructType:
     return T.StructType.fromDDL(f"root {ddl}")["root"].dataType
 
 
+#: a name in backticks, or what opens an object in the text of a variant's schema
+_OBJECT = re.compile(r"(`(?:[^`]|``)*`)|\bOBJECT<")
+_NO_NAME = "no name"
+
+
+def _json_type(kind: T.DataType) -> T.DataType | None:
+    """What JSON inference makes of a variant's type; None for an object without fields."""
+    if isinstance(kind, T.StructType):
+        types = [(name, _json_type(kind[name].dataType)) for name in sorted(kind.names) if name != _NO_NAME]
+        fields = [T.StructField(name, kind) for name, kind in types if kind is not None]
+        return T.StructType(fields) if fields else None
+    if isinstance(kind, T.ArrayType):
+        element = _json_type(kind.elementType)
+        return None if element is None else T.ArrayType(element)
+    if isinstance(kind, T.DecimalType):
+        # whole numbers beyond 64 bits stay exact; all other numbers are doubles
+        return kind if kind.scale == 0 and kind.precision > 18 else T.DoubleType()
+    return T.StringType() if isinstance(kind, (T.NullType, T.VariantType)) else kind
+
+
+def inferred_schema(lines: DataFrame, mode: str = "FAILFAST") -> T.StructType:
+    """The schema that JSON inference finds for the text in ``value``, by one aggregate in the JVM.
+
+    Records are parsed to variants whose types are merged with map-side partial results.
+    Fields that are null everywhere, or of types that do not go together, are text. Blank
+    lines count for nothing. A broken record, or one that names a field twice, is an error
+    or, if ``mode`` is PERMISSIVE, adds the column for corrupt records. Whole numbers among
+    decimals that are all whole (1 and 2.0) make a decimal without places, not a double.
+    """
+    given = lines.where(F.trim("value") != "")
+    parse = F.try_parse_json if mode == "PERMISSIVE" else F.parse_json
+    text, broken = given.select(parse("value").alias("v")).agg(F.schema_of_variant_agg("v"), F.count_if(F.col("v").isNull())).first()
+    text = text.replace("<``: ", f"<`{_NO_NAME}`: ")  # the empty name sorts first
+    kind = T.DataType.fromDDL(_OBJECT.sub(lambda m: m[1] or "STRUCT<", text))
+    if not isinstance(kind, (T.StructType, T.NullType)):
+        raise ReadError("records must be JSON objects")
+    schema = (_json_type(kind) if isinstance(kind, T.StructType) else None) or T.StructType([])
+    return schema.add(lines.sparkSession.conf.get("spark.sql.columnNameOfCorruptRecord"), "string") if broken else schema
+
+
 def json_records(lines: DataFrame, conf: Conf) -> DataFrame:
     """JSON text in the single column ``value`` as columns.
 
@@ -54,7 +95,7 @@ def json_records(lines: DataFrame, conf: Conf) -> DataFrame:
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     if schema is None:
-        schema = spark.read.option("mode", _mode(conf)).json(lines.rdd.map(lambda row: row[0])).schema
+        schema = inferred_schema(lines, _mode(conf))
         if conf.get("seed"):
             schema = merge_schemas(schema, schema_of_sample(spark, conf["seed"]))
     return lines.select(F.from_json("value", schema, {"mode": _mode(conf)}).alias("record")).select("record.*")

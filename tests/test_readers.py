@@ -9,7 +9,7 @@ from slotviews.functions.crypto import decrypt, encrypt
 from slotviews.functions.scalars import register_functions
 from slotviews.session import SETTINGS
 from slotviews.sources.metrics import RUN_SCHEMA, append_metrics, run_metrics
-from slotviews.sources.readers import encrypted_payloads, json_records, merge_schemas, reader_of, schema_of_sample
+from slotviews.sources.readers import encrypted_payloads, inferred_schema, json_records, merge_schemas, reader_of, schema_of_sample
 
 KEY = "0123456789abcdef"
 
@@ -62,6 +62,35 @@ def test_encrypted_xml(spark, tmp_path):
         reader_of("ASSIST_TRANSCRIPTS")(spark, [f"{tmp_path}/x"], {"container": "text", "key": KEY})
 
 
+RECORDS = [
+    ['{"a":1,"b":null,"c":[],"d":{},"e":1.0,"f":1e2,"g":12345678901234567890,"a b":1,"x`y":2,"p>q":3,"OBJECT":{"z":1}}'],
+    ['{"a":1}', '{"a":1.5}', '{"a":"x"}'], ['{"a":1}', '{"a":1.5}'], ['{"a":12345678901234567890}', '{"a":5}'], ['{"a":12345678901234567890}', '{"a":1e3}'],
+    ['{"a":[1,"x"]}', '{"a":{"k":1}}'], ['{"a":[{"k":1},{"k":2.5,"l":true}]}', '{"a":null}'], ['{"a":{}}', '{"a":{"b":[{}]}}', '{"c":0.1234567890123456789012345678901234567890}'],
+    ['{"t":"2024-01-01"}', '{"Q":1,"r":"x"}'], [], ['{"1a":1,"\u00fc":2,"a.b":1,"select":1,"":4}', "", "  "], ['{"`OBJECT<":1,"n":[[1],[null,2.5]]}'],
+]
+
+
+@pytest.mark.parametrize("records", RECORDS)
+def test_schema_is_that_of_json_inference(spark, tmp_path, records):
+    lines = spark.createDataFrame([(r,) for r in records], "value string")
+    lines.write.text(f"{tmp_path}/j")
+    want = spark.read.option("mode", "FAILFAST").json(f"{tmp_path}/j").schema
+    assert inferred_schema(lines).simpleString() == want.simpleString()
+
+
+def test_inference_of_broken_records(spark):
+    lines = spark.createDataFrame([('{"a": 1}',), ("{broken",), (None,)], "value string")
+    with pytest.raises(Exception, match="MALFORMED|broken"):
+        inferred_schema(lines)
+    assert inferred_schema(lines, "PERMISSIVE").simpleString() == "struct<a:bigint,_corrupt_record:string>"
+    rows = json_records(lines, {"mode": "PERMISSIVE"}).collect()
+    assert sorted((r.a or 0, r._corrupt_record or "") for r in rows) == [(0, ""), (0, "{broken"), (1, "")]
+    with pytest.raises(ReadError):
+        inferred_schema(spark.createDataFrame([("[1]",)], "value string"))
+    plan = lines.select(F.schema_of_variant_agg(F.try_parse_json("value")))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+
+
 def test_rare_fields_and_broken_records_survive_or_raise(spark, tmp_path):
     records = [json.dumps({"id": i}) for i in range(500)] + [json.dumps({"id": 500, "rare": "x"})]
     lines = spark.createDataFrame([(r,) for r in records], "value string")
