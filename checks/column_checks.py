@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import check
 from checks.tables import events, table
-from slotviews.functions.scalars import hide_listed, log_payload, register_functions
+from slotviews.functions.scalars import hide_listed, log_payload, register_functions, view_sql
 from slotviews.operators.columns import (
     all_nullable,
     decode_names,
@@ -91,11 +91,12 @@ def field_functions(spark, sf_dir):
 def sql_functions(spark, sf_dir):
     register_functions(spark, "0123456789abcdef")
     nested_orders(spark, sf_dir).createOrReplaceTempView("nested_orders")
-    return spark.sql(
+    return view_sql(
+        spark,
         """SELECT header.o_orderkey, isFieldExists(header.state, 'o_orderstatus') AS has_status,
         isFieldExists(header.state, 'o_clerk') AS has_other, getFieldValue(header.state, 'o_orderstatus') AS status,
         getFieldValue(header.state, 'o_clerk') AS other, decrypt(encrypt(header.state.o_orderpriority)) AS priority
-        FROM nested_orders"""
+        FROM nested_orders""",
     )
 
 

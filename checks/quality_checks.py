@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks.registry import check
 from checks.tables import EVENTS_SQL, events, table
 from slotviews.operators.quality import (
+    Lookup,
     Metric,
     Rule,
     RuleSet,
@@ -79,6 +80,34 @@ def dq_violations(spark, sf_dir):
     return result(spark, sf_dir, ORDER_RULES, LINE_RULES, CLEAN_RULES).frame
 
 
+LOOKUP_RULES = RuleSet(
+    "ds-links",
+    "links",
+    "SELECT * FROM dq_orders",
+    "o_orderkey",
+    (
+        Rule("r-customer", "no customer with money", "NOT has_money"),
+        Rule("r-lines", "open without returned lines", "o_orderstatus = 'O' AND NOT returned"),
+        Rule("r-priority", "neither priority nor customer of the list", "NOT listed AND NOT has_money"),
+    ),
+    lookups=(
+        Lookup("has_money", "SELECT c_custkey FROM dq_customer WHERE c_acctbal > 0", {"c_custkey": "o_custkey"}),
+        Lookup("returned", "SELECT l_orderkey FROM dq_lineitem WHERE l_returnflag = 'R'", {"l_orderkey": "o_orderkey"}, nulls=False),
+        Lookup("listed", "SELECT nullif(c_mktsegment, 'BUILDING') AS segment FROM dq_customer", {"segment": "o_orderpriority"}),
+    ),
+)
+
+
+@check(
+    """SELECT 'r-customer' AS rule_id, o_orderkey::VARCHAR AS record_id FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)
+    UNION ALL SELECT 'r-lines', o_orderkey::VARCHAR FROM orders WHERE o_orderstatus = 'O' AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')
+    UNION ALL SELECT 'r-priority', o_orderkey::VARCHAR FROM orders WHERE o_orderpriority NOT IN (SELECT nullif(c_mktsegment, 'BUILDING') FROM customer)
+      AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)"""
+)
+def dq_lookup_rules(spark, sf_dir):
+    return result(spark, sf_dir, LOOKUP_RULES).frame.select("rule_id", "record_id")
+
+
 @check(f"SELECT dq_data_set_id, rule_id, count(*) AS errors FROM ({HITS_SQL}) GROUP BY ALL")
 def dq_by_rule(spark, sf_dir):
     rows = result(spark, sf_dir, ORDER_RULES, LINE_RULES).frame

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
+from collections.abc import Callable, Iterable
 
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from slotviews.errors import SpecError
 
 
 def operating_system(user_agent: Column) -> Column:
@@ -35,20 +36,53 @@ def log_payload(line: Column, separator: str = " -") -> Column:
     return F.trim(F.try_element_at(F.split(line, separator), F.lit(2)), F.lit(" \t\r\n"))
 
 
-@F.arrow_udf(T.BooleanType())
-def _has_field(struct: pa.Array, name: pa.Array) -> pa.Array:
-    names = pa.array([field.name for field in struct.type], pa.string())
-    return pc.and_(pc.is_in(name, value_set=names), struct.is_valid())
+# texts in quotes and comments, or a call with a dotted column and a field's name
+_NAME = r"(?:`[^`]*`|\w+)"
+_FIELD_CALL = re.compile(
+    r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*.*?\*/"""
+    rf"|\b(?P<call>isFieldExists|getFieldValue)\s*\((?:\s*(?P<struct>{_NAME}(?:\s*\.\s*{_NAME})*)\s*,\s*'(?P<field>[^'\\`]*)'\s*\))?",
+    re.IGNORECASE | re.DOTALL,
+)
+
 
+def with_fields_resolved(text: str, analyse: Callable[[str], object]) -> str:
+    """SQL text in which each isFieldExists and getFieldValue is a plain expression.
 
-@F.arrow_udf(T.StringType())
-def _text_of_field(struct: pa.Array, name: pa.Array) -> pa.Array:
-    texts = pc.fill_null(pa.nulls(len(struct), pa.string()), "")
-    for field in struct.type:
-        wanted = pc.and_(pc.fill_null(pc.equal(name, field.name), False), struct.is_valid())
-        if pa.types.is_string(field.type) and pc.any(wanted).as_py():
-            texts = pc.if_else(wanted, struct.field(field.name), texts)
-    return texts
+    Both ask about the type of a struct, so they are answered when the text is planned, not
+    for each row: ``analyse`` plans a text, and says by Spark's own error whether a field is
+    missing. ``isFieldExists(s, 'f')`` is whether ``s`` is not null, or false; ``getFieldValue``
+    is the text of ``s.f``, or empty where the struct is null or the field is missing.
+    """
+    calls = [m for m in _FIELD_CALL.finditer(text) if m["call"]]
+    for m in calls:
+        if not m["struct"]:
+            raise SpecError(f"{m['call']} takes a column and the name of a field in quotes: {text[m.start() : m.start() + 60]}")
+
+    def filled(parts: list[str]) -> str:
+        out, at = "", 0
+        for m, part in zip(calls, parts, strict=True):
+            out, at = out + text[at : m.start()] + part, m.end()
+        return out + text[at:]
+
+    tests = [m["call"].lower() == "isfieldexists" for m in calls]
+    answers = [f"CAST(NULL AS {'BOOLEAN' if test else 'STRING'})" for test in tests]
+    for i, (m, test) in enumerate(zip(calls, tests, strict=True)):
+        struct, field = m["struct"], f"{m['struct']}.`{m['field']}`"
+        parts = list(answers)
+        parts[i] = f"({struct} IS NOT NULL AND ({field} IS NULL OR true))" if test else f"CAST({field} AS STRING)"
+        try:
+            analyse(filled(parts))
+            answers[i] = f"({struct} IS NOT NULL)" if test else f"(CASE WHEN {struct} IS NOT NULL THEN CAST({field} AS STRING) ELSE '' END)"
+        except AnalysisException as error:
+            if error.getCondition() != "FIELD_NOT_FOUND":
+                raise
+            answers[i] = "false" if test else "''"
+    return filled(answers)
+
+
+def view_sql(spark: SparkSession, text: str) -> DataFrame:
+    """``spark.sql`` for texts that may call isFieldExists and getFieldValue."""
+    return spark.sql(with_fields_resolved(text, spark.sql))
 
 
 def _text_literal(text: str) -> str:
@@ -56,11 +90,10 @@ def _text_literal(text: str) -> str:
 
 
 def register_functions(spark: SparkSession, key: str) -> None:
-    """Makes encrypt, decrypt, isFieldExists and getFieldValue callable from SQL.
+    """Makes encrypt and decrypt callable from SQL; Catalyst inlines them.
 
-    The first two are SQL functions that Catalyst inlines. The other two take a
-    struct of any type, which SQL functions cannot declare, so they are Arrow
-    functions; DataFrame code should use ``field_exists`` and ``field_value``.
+    isFieldExists and getFieldValue take a struct of any type, which a SQL function cannot
+    declare: texts that call them go through ``view_sql``.
     """
     secret = _text_literal(key)
     spark.sql(
@@ -71,5 +104,3 @@ def register_functions(spark: SparkSession, key: str) -> None:
         "CREATE OR REPLACE TEMPORARY FUNCTION decrypt(cipher STRING) RETURNS STRING "
         f"RETURN CAST(aes_decrypt(unbase64(cipher), {secret}) AS STRING)"
     )
-    spark.udf.register("isFieldExists", _has_field)
-    spark.udf.register("getFieldValue", _text_of_field)

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotviews.errors import ExportError, NoQualityDefinition, QualityError, SpecError
-from slotviews.operators.columns import require_columns, row_text
+from slotviews.functions.scalars import view_sql, with_fields_resolved
+from slotviews.operators.columns import quoted, require_columns, row_text
 from slotviews.operators.dedup import latest_by
 from slotviews.operators.limits import first_n_per_group
 from slotviews.operators.slots import check_window
@@ -34,9 +35,29 @@ class Rule:
     description: str = ""
 
 
+@dataclass(frozen=True)
+class Lookup:
+    """A flag that rules can use: whether a row's key is among those of a query.
+
+    ``keys`` maps columns of ``sql`` to expressions over the data set. With one key the flag
+    is what ``expression IN (query)`` would be: true, false, or null where no key is equal
+    and either the expression or some key is null, so ``NOT flag`` is ``NOT IN``. With
+    several keys, or where ``nulls`` is false, it is what ``EXISTS`` would be: true where a
+    row of the query equals them all, else false.
+    """
+
+    name: str
+    sql: str
+    keys: Mapping[str, str]
+    nulls: bool = True
+
+
 @dataclass(frozen=True)
 class RuleSet:
-    """Rules over one data set; ``record_id`` is any expression over its columns."""
+    """Rules over one data set; ``record_id`` is any expression over its columns.
+
+    ``lookups`` add flags that the rules' predicates can name.
+    """
 
     id: str
     name: str
@@ -45,6 +66,7 @@ class RuleSet:
     rules: tuple[Rule, ...] = ()
     description: str = ""
     level: str = ""
+    lookups: tuple[Lookup, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -75,13 +97,44 @@ def has_subquery(spark: SparkSession, predicate: str) -> bool:
     return spark._jvm.org.apache.spark.sql.catalyst.expressions.SubqueryExpression.hasSubquery(parsed)
 
 
-def violated_rules(df: DataFrame, rules: Sequence[Rule], record_id: str) -> DataFrame:
+def with_lookups(df: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
+    """Adds the flag of each lookup by a left join on its distinct keys.
+
+    Rows keep their number, as keys are distinct. Whether a lookup has keys at all, and
+    whether one of them is null, is one row, computed from the lookup alone.
+    """
+    for lookup in lookups:
+        if lookup.name in df.columns:
+            raise SpecError(f"lookup {lookup.name} has the name of a column")
+        names = {key: f"__{lookup.name}_{i}" for i, key in enumerate(lookup.keys)}
+        keys = df.sparkSession.sql(lookup.sql).select(*[F.col(key).alias(name) for key, name in names.items()]).distinct()
+        present, same = F.lit(True), F.lit(True)
+        for key, name in names.items():
+            present = present & F.col(name).isNotNull()
+            same = same & (F.expr(lookup.keys[key]) == F.col(name))
+        flag = F.coalesce("__hit", F.lit(False))
+        rows = df.join(keys.where(present).withColumn("__hit", F.lit(True)), same, "left")
+        if lookup.nulls and len(names) == 1:
+            (key, name), = names.items()
+            some = keys.agg((F.count("*") > 0).alias("__some"), F.coalesce(F.bool_or(F.col(name).isNull()), F.lit(False)).alias("__null"))
+            rows = rows.crossJoin(F.broadcast(some))  # one row
+            unknown = F.col("__some") & (F.expr(lookup.keys[key]).isNull() | F.col("__null"))
+            flag = F.when(F.col("__hit"), True).when(~unknown, False)
+        df = rows.select(*[F.col(quoted(c)) for c in df.columns], flag.alias(lookup.name))
+    return df
+
+
+def violated_rules(df: DataFrame, rules: Sequence[Rule], record_id: str, lookups: Sequence[Lookup] = ()) -> DataFrame:
     """(rule_id, rule_name, record_id) per violation, all rules in one pass.
 
-    A null predicate is no violation. Rules with a subquery cannot be evaluated in a
-    projection and run as a filter of their own; write them with ``[NOT] EXISTS``, which
-    joins on keys, where ``NOT IN`` has to send its whole list to every task.
+    A null predicate is no violation. A rule that asks another data set is best written
+    with a lookup's flag, which costs a join on keys and no further pass. A rule with a
+    subquery in its text cannot be evaluated in a projection and runs as a filter, with a
+    scan, of its own.
     """
+    df = with_lookups(df, lookups)
+    rules = [replace(rule, sql=with_fields_resolved(rule.sql, df.where)) for rule in rules]
+    record_id = with_fields_resolved(record_id, df.selectExpr)
     plain = [rule for rule in rules if not has_subquery(df.sparkSession, rule.sql)]
     branches = []
     if plain:
@@ -132,7 +185,7 @@ def check_rules(spark: SparkSession, rule_sets: Sequence[RuleSet] | None, run: R
         if not rule_set.rules:
             continue
         try:
-            hits = violated_rules(spark.sql(rule_set.sql), rule_set.rules, rule_set.record_id)
+            hits = violated_rules(view_sql(spark, rule_set.sql), rule_set.rules, rule_set.record_id, rule_set.lookups)
         except Exception as error:
             raise QualityError(f"cannot evaluate data set {rule_set.name}: {error}") from error
         hits = hits.withColumn("dq_data_set_id", F.lit(rule_set.id))
@@ -261,14 +314,15 @@ def all_passed(tests: Column) -> Column:
 
 def test_rows(df: DataFrame, test_set: TestSet) -> DataFrame:
     """Adds rowData, the result struct and dqPass to every row."""
+    said = lambda text: F.expr(with_fields_resolved(text, df.selectExpr))
     outcomes = F.array(
         *[
             F.struct(
                 F.lit(test_set.name).alias("testDateSetName"),
                 F.lit(test.name).alias("testName"),
                 F.lit(test.description).alias("testDesc"),
-                F.coalesce(F.expr(test.passes), F.lit(False)).alias("pass"),
-                F.expr(test.message).cast("string").alias("description"),
+                F.coalesce(said(test.passes), F.lit(False)).alias("pass"),
+                said(test.message).cast("string").alias("description"),
             )
             for test in test_set.tests
         ]
@@ -298,7 +352,7 @@ def run_row_tests(spark: SparkSession, test_sets: Sequence[TestSet], table: str,
     first, last = check_window(start, end)
     found = None
     for test_set in test_sets:
-        rows = test_rows(spark.sql(test_set.sql), test_set)
+        rows = test_rows(view_sql(spark, test_set.sql), test_set)
         rows = rows.withColumns(
             {
                 "testDataSet": F.lit(test_set.name),
@@ -324,7 +378,7 @@ def verdicts(results: DataFrame, **tags) -> DataFrame:
 
 
 def metric_frame(spark: SparkSession, metric: Metric) -> DataFrame:
-    rows = spark.sql(metric.sql)
+    rows = view_sql(spark, metric.sql)
     names = [*metric.dims, *metric.measures]
     require_columns(rows, names, f"metric {metric.name}")
     return rows.select(*names)

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from slotviews.errors import BuilderError, ReadError, SlotViewsError, SpecError
 from slotviews.functions.crypto import decrypt_columns, encrypt_columns
-from slotviews.functions.scalars import register_functions
+from slotviews.functions.scalars import register_functions, view_sql
 from slotviews.operators.dedup import dedup_by_keys
 from slotviews.operators.slots import (
     SLOT_COLUMNS,
@@ -108,7 +108,7 @@ class Workspace:
             if spec.builder is not None:
                 return spec.builder(self.spark, spec)
             for name, text in spec.steps:
-                self.spark.sql(text).createOrReplaceTempView(name)
+                view_sql(self.spark, text).createOrReplaceTempView(name)
             return self.spark.table(spec.name)
         except SlotViewsError:
             raise

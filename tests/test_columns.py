@@ -5,8 +5,9 @@ from tests.conftest import plan_of, rows_of
 
 from slotviews.errors import DedupError, SpecError
 from slotviews.functions.crypto import decrypt_columns, encrypt_columns
-from slotviews.functions.scalars import base_session, client_of_account, hide_listed, operating_system, register_functions
+from slotviews.functions.scalars import base_session, client_of_account, hide_listed, operating_system, register_functions, view_sql
 from slotviews.operators import columns
+from slotviews.operators.quality import Rule, violated_rules
 from slotviews.operators.dedup import dedup_by_keys, latest_by
 from pyspark.sql import functions as F
 
@@ -44,9 +45,10 @@ def test_fields(people):
 def test_sql_functions(spark, people):
     register_functions(spark, KEY)
     people.createOrReplaceTempView("people")
-    rows = spark.sql(
+    rows = view_sql(
+        spark,
         """SELECT isFieldExists(cars, 'car1'), isFieldExists(cars, 'car123'), getFieldValue(cars, 'car1'),
-        getFieldValue(cars, 'car123'), decrypt(encrypt(name)), encrypt(name) = name, decrypt(encrypt(age)) FROM people"""
+        getFieldValue(cars, 'car123'), decrypt(encrypt(name)), encrypt(name) = name, decrypt(encrypt(age)) FROM people""",
     ).collect()
     assert [tuple(r) for r in rows] == [
         (True, False, "Ford", "", "John", False, "30"),
@@ -54,6 +56,24 @@ def test_sql_functions(spark, people):
     ]
 
 
+def test_field_functions_are_resolved_when_planned(spark):
+    spark.sql("SELECT 1 AS id, named_struct('n', 5, 'x y', named_struct('z', date'2024-01-02')) AS s UNION ALL SELECT 2, NULL").createOrReplaceTempView("deep")
+    text = """-- isFieldExists(not, 'a call')
+        SELECT d.id, getFieldValue(d.s, 'n') AS n, GETFIELDVALUE ( s.`x y` , 'z' ) AS z, getFieldValue(s, 'none') || 'isFieldExists(s' AS none,
+        (SELECT max(isFieldExists(s, 'm')) FROM deep) AS m FROM deep d WHERE isFieldExists(s, 'x y') OR id = 2 /* getFieldValue( */"""
+    rows = view_sql(spark, text)
+    assert rows_of(rows.select("id", "n", "z", "none", "m")) == [(1, "5", "2024-01-02", "isFieldExists(s", False), (2, "", "", "isFieldExists(s", False)]
+    assert "Python" not in rows._jdf.queryExecution().executedPlan().toString()
+    rules = [Rule("r", "", "isFieldExists(s, 'n') AND NOT isFieldExists(s, 'm')"), Rule("q", "", "id IN (SELECT id FROM deep WHERE id > 1) AND getFieldValue(s, 'n') = ''")]
+    found = violated_rules(spark.table("deep"), rules, "concat(id, getFieldValue(s, 'n'))")
+    assert rows_of(found.select("rule_id", "record_id")) == [("q", "2"), ("r", "15")]
+    for wrong in ("SELECT isFieldExists(s, id) FROM deep", "SELECT getFieldValue(coalesce(s, s), 'n') FROM deep"):
+        with pytest.raises(SpecError):
+            view_sql(spark, wrong)
+    with pytest.raises(Exception, match="UNRESOLVED_COLUMN"):
+        view_sql(spark, "SELECT isFieldExists(t, 'n') FROM deep")
+
+
 def test_defaults(people):
     filled = columns.fill_blank(people.select(F.nullif("name", F.lit("Ann")).alias("name"), "age"))
     assert rows_of(filled.select("name")) == [("",), ("John",)]

@@ -9,6 +9,7 @@ from slotviews.errors import NoQualityDefinition, QualityError, SpecError
 from slotviews.operators.limits import first_n_per_group
 from slotviews.operators.quality import (
     VIOLATION_SCHEMA,
+    Lookup,
     Metric,
     Rule,
     RuleSet,
@@ -131,6 +132,31 @@ def test_rules_plan_without_forced_broadcasts(spark, visits):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_lookups_keep_the_meaning_of_in_and_exists(spark, tmp_path):
+    keys = [1, 2, 3, None, 5]
+    spark.createDataFrame([(i, k, "ab"[i % 2]) for i, k in enumerate(keys)], "id int, k int, c string").write.parquet(f"{tmp_path}/d")
+    data = spark.read.parquet(f"{tmp_path}/d")
+    data.createOrReplaceTempView("data_rows")
+    lists = {"plain": [1, 3, 3], "nulls": [2, None], "none": [], "only_null": [None]}
+    for name, values in lists.items():
+        spark.createDataFrame([(v, "a") for v in values], "y int, z string").createOrReplaceTempView(f"list_{name}")
+    for name in lists:
+        found = violated_rules(data, [Rule("in", "", "hit"), Rule("not", "", "NOT hit"), Rule("null", "", "hit IS NULL")], "id", [Lookup("hit", f"SELECT * FROM list_{name}", {"y": "k"})])
+        where = {"in": f"k IN (SELECT y FROM list_{name})", "not": f"k NOT IN (SELECT y FROM list_{name})"}
+        want = [(rule, str(r.id)) for rule, test in where.items() for r in spark.sql(f"SELECT id FROM data_rows WHERE {test}").collect()]
+        decided = {i for _, i in want}
+        want += [("null", str(i)) for i in range(len(keys)) if str(i) not in decided]
+        assert rows_of(found.select("rule_id", "record_id")) == sorted(want), name
+    pair = Lookup("pair", "SELECT * FROM list_plain", {"y": "k", "z": "c"})
+    exists = Lookup("some", "SELECT * FROM list_nulls", {"y": "k"}, nulls=False)
+    known = Lookup("known", "SELECT * FROM list_plain", {"y": "k + 0"})
+    found = violated_rules(data, [Rule("pair", "", "NOT pair"), Rule("some", "", "NOT some"), Rule("known", "", "NOT known AND id > 0")], "id", [pair, exists, known])
+    assert rows_of(found.select("rule_id", "record_id")) == [("known", "1"), ("known", "4"), ("pair", "1"), ("pair", "3"), ("pair", "4"), ("some", "0"), ("some", "2"), ("some", "3"), ("some", "4")]
+    assert plan_of(found).count("FileScan") == 1
+    with pytest.raises(SpecError):
+        violated_rules(data, [Rule("a", "", "id")], "id", [Lookup("id", "SELECT 1 AS y", {"y": "k"})])
+
+
 def test_a_task_sends_no_more_than_the_cap(spark):
     rows = spark.range(0, 4000, 1, 8).selectExpr("id % 2 AS rule", "id")
     first = first_n_per_group(rows, ["rule"], ["id"], 5)
