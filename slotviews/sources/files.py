@@ -20,6 +20,14 @@ class Files:
         found = self._fs.globStatus(self._path(pattern))
         return [status.getPath().toString() for status in found or ()]
 
+    def data_files(self, pattern: str) -> list[tuple[str, int]]:
+        """Paths and sizes of the files that match, or that matching folders hold; names that start with ``_`` or ``.`` are hidden."""
+        found = []
+        for status in self._fs.globStatus(self._path(pattern)) or ():
+            inside = self._fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+            found += [(one.getPath().toString(), one.getLen()) for one in inside if one.isFile() and one.getPath().getName()[0] not in "_."]
+        return sorted(found)
+
     def exists(self, path: str) -> bool:
         return self._fs.exists(self._path(path))
 

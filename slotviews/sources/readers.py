@@ -8,6 +8,7 @@ sure that the sample's fields exist whatever the data holds.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
@@ -19,6 +20,8 @@ from pyspark.sql import types as T
 from slotviews.errors import ReadError, SpecError
 from slotviews.functions.crypto import decrypt
 from slotviews.functions.scalars import log_payload
+from slotviews.sources.files import Files
+from slotviews.sources.sequence_files import SequenceFileSource
 
 Conf = Mapping[str, Any]
 Reader = Callable[[SparkSession, Sequence[str], Conf], DataFrame]
@@ -115,24 +118,23 @@ def xml_records(lines: DataFrame, conf: Conf) -> DataFrame:
     return lines.select(F.from_xml("value", conf["schema"], {"mode": _mode(conf)}).alias(conf["root"]))
 
 
-def _sequence_pairs(spark: SparkSession, paths: Sequence[str]):
-    return spark.sparkContext.sequenceFile(",".join(paths))
+def _sequence_files(spark: SparkSession, paths: Sequence[str], kind: str, **options: str) -> DataFrame:
+    """Values of all SequenceFiles at the paths (files, folders or patterns); hidden files are left out."""
+    files = [found for path in paths for found in Files(spark, path).data_files(path)]
+    if not files:
+        raise ReadError(f"no SequenceFiles at {', '.join(paths)}")
+    spark.dataSource.register(SequenceFileSource)
+    return spark.read.format(SequenceFileSource.name()).options(files=json.dumps(files), kind=kind, **options).load()
 
 
-def sequence_values(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Text values of SequenceFiles as the column ``value``; keys are dropped.
-
-    Spark has no DataFrame source for SequenceFiles, so this is the one place where
-    rows pass through an RDD.
-    """
-    values = _sequence_pairs(spark, paths).map(lambda pair: (pair[1],))
-    return spark.createDataFrame(values, "value string", verifySchema=False)
+def sequence_values(spark: SparkSession, paths: Sequence[str], **options: str) -> DataFrame:
+    """Text values of SequenceFiles as the column ``value``; keys are dropped."""
+    return _sequence_files(spark, paths, "text", **options)
 
 
-def sequence_frames(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def sequence_frames(spark: SparkSession, paths: Sequence[str], **options: str) -> DataFrame:
     """Binary values of SequenceFiles as the column ``frame``."""
-    values = _sequence_pairs(spark, paths).map(lambda pair: (bytes(pair[1]),))
-    return spark.createDataFrame(values, "frame binary", verifySchema=False)
+    return _sequence_files(spark, paths, "binary", **options)
 
 
 def _file_reader(spark: SparkSession, conf: Conf):

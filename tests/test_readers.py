@@ -9,7 +9,8 @@ from slotviews.functions.crypto import decrypt, encrypt
 from slotviews.functions.scalars import register_functions
 from slotviews.session import SETTINGS
 from slotviews.sources.metrics import RUN_SCHEMA, append_metrics, run_metrics
-from slotviews.sources.readers import encrypted_payloads, inferred_schema, json_records, merge_schemas, reader_of, schema_of_sample
+from slotviews.sources.readers import encrypted_payloads, inferred_schema, json_records, merge_schemas, reader_of, schema_of_sample, sequence_frames, sequence_values
+from slotviews.sources.sequence_files import vint
 
 KEY = "0123456789abcdef"
 
@@ -25,6 +26,45 @@ def sequence(spark, tmp_path):
 SEED = json.dumps({"id": 0, "context": {"vi": "", "psid": ""}, "eventType": "dummy"})
 
 
+@pytest.mark.parametrize("codec", [None, "DefaultCodec", "GzipCodec", "BZip2Codec"])
+@pytest.mark.parametrize("kind", ["RECORD", "BLOCK"])
+def test_sequence_files_split_at_sync_marks(spark, tmp_path, codec, kind):
+    texts = ["", "é 漢字 🙂", "x" * 30_000] + [f"line {i} " + "y" * (i % 700) for i in range(1500)]
+    path = f"{tmp_path}/s"
+    if codec and kind == "RECORD":  # Spark's own call always makes blocks
+        pairs = spark.sparkContext.parallelize([(str(i), t) for i, t in enumerate(texts)], 1)
+        options = {"mapreduce.output.fileoutputformat.outputdir": path, "mapreduce.output.fileoutputformat.compress": "true", "mapreduce.output.fileoutputformat.compress.codec": f"org.apache.hadoop.io.compress.{codec}", "mapreduce.output.fileoutputformat.compress.type": "RECORD", "mapreduce.job.outputformat.class": "org.apache.hadoop.mapreduce.lib.output.SequenceFileOutputFormat", "mapreduce.job.output.key.class": "org.apache.hadoop.io.Text", "mapreduce.job.output.value.class": "org.apache.hadoop.io.Text"}
+        pairs.saveAsNewAPIHadoopDataset(options)
+    else:
+        spark.sparkContext.parallelize([(str(i), t) for i, t in enumerate(texts)], 1).saveAsSequenceFile(path, codec and f"org.apache.hadoop.io.compress.{codec}")
+    whole = sequence_values(spark, [path])
+    assert sorted(r.value for r in whole.collect()) == sorted(texts)
+    for size in (999, 20_000, 150_000):
+        rows = sequence_values(spark, [f"{tmp_path}/*"], split_bytes=str(size))
+        assert sorted(r.value for r in rows.collect()) == sorted(texts)
+    if not codec:
+        used = sequence_values(spark, [path], split_bytes="100000").selectExpr("spark_partition_id() AS p").distinct().count()
+        assert used > 2
+    assert "RDD" not in whole._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_sequence_files_of_bytes_and_wrong_files(spark, tmp_path):
+    frames = [bytes([i % 256]) * (i % 50) for i in range(300)]
+    spark.sparkContext.parallelize([("k", bytearray(f)) for f in frames], 3).saveAsSequenceFile(f"{tmp_path}/b")
+    rows = sequence_frames(spark, [f"{tmp_path}/b"], split_bytes="500")
+    assert sorted(bytes(r.frame) for r in rows.collect()) == sorted(frames)
+    with pytest.raises(ReadError):
+        sequence_frames(spark, [f"{tmp_path}/none"])
+    spark.createDataFrame([("no sequence",)], "value string").write.text(f"{tmp_path}/t")
+    with pytest.raises(Exception, match="not a SequenceFile"):
+        sequence_values(spark, [f"{tmp_path}/t"]).collect()
+
+
+@pytest.mark.parametrize("number, data", [(0, b"\x00"), (127, b"\x7f"), (-112, b"\x90"), (128, b"\x8f\x80"), (-113, b"\x87\x70"), (65536, b"\x8d\x01\x00\x00")])
+def test_numbers_of_variable_length(number, data):
+    assert vint(b"x" + data + b"y", 1) == (number, 1 + len(data))
+
+
 def test_seed_adds_fields_but_no_row(spark, sequence):
     for fmt in ("SEQ_JSON", "ASSIST_INTERACTIONS_V2"):
         rows = reader_of(fmt)(spark, [sequence], {"seed": SEED})
