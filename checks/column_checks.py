@@ -144,3 +144,9 @@ def predicates(spark, sf_dir):
         AND header.state.o_orderpriority LIKE '%-%' AND LOWER(header.state.o_orderpriority) LIKE '%high%'
         AND header.state.o_orderpriority REGEXP '^[0-9]-' AND body.o_totalprice BETWEEN 1000 AND 400000"""
     )
+
+
+@check("SELECT event_id, TRUE AS past, TRUE AS one_moment FROM events")
+def current_moment(spark, sf_dir):
+    events(spark, sf_dir).createOrReplaceTempView("moment_events")
+    return spark.sql("SELECT event_id, ts < now() AS past, now() = current_timestamp() AS one_moment FROM moment_events")

@@ -209,3 +209,24 @@ def dq_latest_status(spark, sf_dir):
         F.concat(F.lit("job-"), "user_id").alias("job_id"), F.col("event_type").alias("status"), "epoch_ms", "event_id"
     )
     return latest_by(rows, ["job_id"], ["epoch_ms", "event_id"]).select("job_id", "status")
+
+
+@check("SELECT event_id, event_type, TRUE AS passed, event_type AS message FROM events")
+def dq_result_view(spark, sf_dir):
+    """The rows of a test set stay in scope as a view, with their outcome."""
+    tested(spark, sf_dir)
+    return spark.sql("SELECT event_id, event_type, dqPass AS passed, result.tests[0].description AS message FROM DQResult_Events_Known")
+
+
+@check("SELECT user_id || '|' || count(*) AS row_data, count(*) <= 20 AS passed FROM events WHERE event_type <> 'error' GROUP BY user_id")
+def dq_imports_in_scope(spark, sf_dir):
+    """A test set over a view that is no view's step: its imports are resolved into scope first."""
+    from checks.tables import MONTH
+    from checks.view_checks import RAW, view, workspace
+    from slotviews.plans.specs import Import
+
+    good = view("GoodEvents", [("GoodEvents", "SELECT * FROM RawEvents WHERE event_type <> 'error'")])
+    workspace(spark, sf_dir).bring([Import(good), Import(RAW)], "acme", *MONTH)
+    rules = TestSet("PerUser", "SELECT user_id, count(*) AS cnt FROM GoodEvents GROUP BY user_id", (RowTest("Few", "few events", "cnt <= 20", "cnt"),))
+    rows = run_row_tests(spark, [rules], "Good", "acme", *MONTH)
+    return rows.select(F.col("rowData").alias("row_data"), F.col("dqPass").alias("passed"))

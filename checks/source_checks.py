@@ -23,6 +23,7 @@ from slotviews.sources.readers import (
     read_parquet,
     read_sequence_json,
     read_sequence_json_fixed,
+    reader_of,
 )
 
 KEY = "0123456789abcdef"
@@ -86,6 +87,37 @@ def sequence_scan_fixed(spark, sf_dir):
     return read_sequence_json_fixed(spark, [path], {"schema": "conv_id bigint, turn bigint, role string, text string"})
 
 
+@check(f"WITH e AS ({EVENTS_SQL}) SELECT event_id, user_id, event_type, k, CAST(NULL AS VARCHAR) AS queue FROM e")
+def interactions_v2_scan(spark, sf_dir):
+    """Interactions of the second version: nested records, some with fields that others lack."""
+    path = scratch_path(spark, "interactions")
+    rows = events(spark, sf_dir).select(F.struct("event_id", "user_id").alias("header"), F.struct("event_type", F.when(F.col("k") % 2 == 0, F.col("k")).alias("even"), F.when(F.col("k") % 2 == 1, F.col("k")).alias("odd")).alias("body"))
+    sequence_of(rows, path)
+    found = reader_of("ASSIST_INTERACTIONS_V2")(spark, [path], {"seed": json.dumps({"body": {"queue": ""}})})
+    return found.select("header.event_id", "header.user_id", "body.event_type", F.coalesce("body.even", "body.odd").cast("int").alias("k"), "body.queue")
+
+
+@check(f"SELECT {', '.join(ORDERS)} FROM orders")
+def agent_statistics_scan(spark, sf_dir):
+    """Encrypted JSON log lines in SequenceFiles."""
+    path = scratch_path(spark, "statistics")
+    line = F.concat(F.lit("[2024-01-01 00:00:00,000] - "), encrypt(F.to_json(F.struct(*ORDERS)), KEY))
+    orders(spark, sf_dir).select(line).rdd.map(lambda row: ("line", row[0])).saveAsSequenceFile(path)
+    return exact_doubles(reader_of("ASSIST_AGENTSTATS")(spark, [path], {"key": KEY}))
+
+
+@check("SELECT conv_id, turn, hex(encode(text)) AS frame FROM conversations")
+def frame_scan(spark, sf_dir):
+    """Binary frames in SequenceFiles: a turn's number in eight bytes each, then its text."""
+    path = scratch_path(spark, "frames")
+    number = lambda name: F.unhex(F.lpad(F.hex(F.col(name).cast("bigint")), 16, "0"))
+    rows = table(spark, sf_dir, "conversations").select(F.concat(number("conv_id"), number("turn"), F.encode("text", "utf-8")).alias("frame"))
+    rows.rdd.map(lambda row: ("frame", row[0])).saveAsSequenceFile(path)
+    frame = reader_of("SESSIONIZED_BINLOG")(spark, [path], {})
+    part = lambda at: F.conv(F.hex(F.substring("frame", at, 8)), 16, 10).cast("bigint")
+    return frame.select(part(1).alias("conv_id"), part(9).alias("turn"), F.hex(F.expr("substring(frame, 17)")).alias("frame"))
+
+
 def _lines(rows, payload, path):
     line = F.concat(F.lit("[2024-01-01 00:00:00,000] - "), encrypt(payload, KEY))
     rows.select(line.alias("value")).write.text(path)

@@ -27,7 +27,8 @@ def workspace(spark, sf_dir) -> Workspace:
     if key not in _roots:
         root = scratch_path(spark, "workspace")
         rows = with_slot_columns(events(spark, sf_dir).drop("ts"), "epoch_ms")
-        rows.hint("rebalance", *SLOT_COLUMNS).write.partitionBy(*SLOT_COLUMNS).parquet(f"{root}/raw/acme/events")
+        # thousands of small files: their number counts, not their bytes
+        rows.repartition(spark.sparkContext.defaultParallelism, *SLOT_COLUMNS).write.partitionBy(*SLOT_COLUMNS).parquet(f"{root}/raw/acme/events")
         _roots[key] = root
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return Workspace(spark, _roots[key], KEY)
@@ -202,6 +203,29 @@ def page_load_view(spark, sf_dir):
     return run(spark, sf_dir, spec).df()
 
 
+@check(
+    f"""WITH e AS ({EVENTS_SQL}) SELECT event_id, user_id, epoch_ms, k % 3 = 0 AS resolved, CASE WHEN k % 3 = 0 THEN 'agent' ELSE '' END AS resolver,
+    'view' AS source FROM e WHERE event_type = 'purchase'"""
+)
+def resolution_view(spark, sf_dir):
+    """Resolutions: the header's fields and what the nested body says, where it says something."""
+    nested = view(
+        "RawInteractions",
+        [
+            (
+                "RawInteractions",
+                """SELECT named_struct('event_id', event_id, 'user_id', user_id, 'epoch_ms', epoch_ms) AS header,
+                named_struct('resolution', if(event_type = 'purchase', named_struct('resolved', k % 3 = 0,
+                    'by', if(k % 3 = 0, 'agent', '')), NULL)) AS body FROM RawEvents""",
+            )
+        ],
+    )
+    text = """SELECT header.*, body.resolution.resolved, getFieldValue(body.resolution, 'by') AS resolver,
+        if(isFieldExists(body.resolution, 'origin'), 'record', 'view') AS source
+        FROM RawInteractions WHERE isFieldExists(body, 'resolution') AND body.resolution IS NOT NULL"""
+    return run(spark, sf_dir, view("Resolution", [("Resolution", text)], [Import(nested)])).df()
+
+
 @check("SELECT DISTINCT user_id, event_type FROM events")
 def dedup_on_load(spark, sf_dir):
     spec = ViewSpec("RawEvents", "/raw/%s/events", "PARQUET", materialize=False, dedup_keys=("user_id", "event_type"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import logging
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,6 +47,17 @@ _FIELD_CALL = re.compile(
 )
 
 
+@contextmanager
+def _quiet() -> Iterator[None]:
+    """Keeps the error that answers a question out of the log."""
+    logger = logging.getLogger("SQLQueryContextLogger")
+    before, logger.disabled = logger.disabled, True
+    try:
+        yield
+    finally:
+        logger.disabled = before
+
+
 def with_fields_resolved(text: str, analyse: Callable[[str], object]) -> str:
     """SQL text in which each isFieldExists and getFieldValue is a plain expression.
 
@@ -71,7 +84,8 @@ def with_fields_resolved(text: str, analyse: Callable[[str], object]) -> str:
         parts = list(answers)
         parts[i] = f"({struct} IS NOT NULL AND ({field} IS NULL OR true))" if test else f"CAST({field} AS STRING)"
         try:
-            analyse(filled(parts))
+            with _quiet():
+                analyse(filled(parts))
             answers[i] = f"({struct} IS NOT NULL)" if test else f"(CASE WHEN {struct} IS NOT NULL THEN CAST({field} AS STRING) ELSE '' END)"
         except AnalysisException as error:
             if error.getCondition() != "FIELD_NOT_FOUND":
