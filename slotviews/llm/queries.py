@@ -23,14 +23,16 @@ def op1_chat_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each conversation against itself with the end of the next conversation.
 
     Chosen is the conversation. Rejected has, in place of its last assistant turn and what
-    follows, the next conversation's last assistant turn and what follows.
+    follows, the next conversation's last assistant turn and what follows. Turns without a
+    number come first and stay with their conversation; rows without a conversation's id
+    belong to none and make no pair.
     """
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").filter("conv_id IS NOT NULL")
     last = turns.groupBy("conv_id").agg(F.max(F.when(F.col("role") == "assistant", F.col("turn"))).alias("reply"), F.max("turn").alias("end"))
     last = last.select("conv_id", F.coalesce("reply", F.col("end") + 1).alias("cut"))
     dealt = with_next(last, "conv_id", ["conv_id", "cut"])
     chosen = turns.withColumnRenamed("conv_id", "pair_id")
-    before = turns.join(dealt, "conv_id").filter("turn < cut").select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
+    before = turns.join(dealt, "conv_id").filter("turn IS NULL OR turn < cut").select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
     tails = turns.join(last, "conv_id").filter("turn >= cut").select("conv_id", (F.col("turn") - F.col("cut")).alias("after"), "role", "text")
     tail = dealt.select(F.col("conv_id").alias("pair_id"), "cut", F.col("next_conv_id").alias("conv_id")).join(tails, "conv_id")
     rejected = before.unionByName(tail.select("pair_id", (F.col("cut") + F.col("after")).alias("turn"), "role", "text"))
@@ -42,9 +44,9 @@ WITH last AS (SELECT conv_id, coalesce(max(turn) FILTER (role = 'assistant'), ma
 dealt AS (SELECT conv_id, cut, coalesce(lead(conv_id) OVER (ORDER BY conv_id), first_value(conv_id) OVER (ORDER BY conv_id)) AS next_id FROM last),
 sides AS (
   SELECT conv_id AS pair_id, 0 AS side, turn, role, text FROM conversations WHERE conv_id IS NOT NULL
-  UNION ALL SELECT c.conv_id, 1, turn, role, text FROM conversations c JOIN dealt USING (conv_id) WHERE turn < cut
+  UNION ALL SELECT c.conv_id, 1, turn, role, text FROM conversations c JOIN dealt USING (conv_id) WHERE turn IS NULL OR turn < cut
   UNION ALL SELECT d.conv_id, 1, d.cut + c.turn - l.cut, role, text FROM dealt d JOIN last l ON l.conv_id = d.next_id JOIN conversations c ON c.conv_id = d.next_id AND c.turn >= l.cut),
-placed AS (SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY turn, role, text) - 1 AS pos, '<|' || coalesce(role, '') || chr(124) || '>' || chr(10) AS head FROM sides),
+placed AS (SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS pos, '<|' || coalesce(role, '') || chr(124) || '>' || chr(10) AS head FROM sides),
 cut AS (
   SELECT coalesce(a.pair_id, b.pair_id) AS pair_id, min(coalesce(a.pos, b.pos)) AS cut
   FROM (FROM placed WHERE side = 0) a FULL JOIN (FROM placed WHERE side = 1) b ON a.pair_id = b.pair_id AND a.pos = b.pos
