@@ -19,6 +19,8 @@ ARCHIVE_BYTES = 1_000_000_000
 #: ranges closer than this are read together, up to READ_BYTES at once
 GAP_BYTES = 64_000
 READ_BYTES = 8_000_000
+#: of records that a task reads, about
+TASK_BYTES = 32_000_000
 
 INDEX = "page_id bigint, url string, digest string, payload_bytes bigint, record_type string, refers_to bigint, file string, offset bigint, length bigint"
 RECORD = "page_id bigint, url string, record_type string, refers_to bigint, payload_bytes bigint, payload_digest string, payload binary"
@@ -133,8 +135,10 @@ def read_records(index: DataFrame, selected: Column | None = None) -> DataFrame:
     payload it stands for. An empty selection gives no rows.
     """
     rows = index if selected is None else index.filter(selected)
-    rows = rows.select("file", "offset", "length", F.floor(F.col("offset") / (4 * READ_BYTES)).alias("_part"))
-    rows = rows.repartition("file", "_part").sortWithinPartitions("file", "offset").select("file", "offset", "length")
+    rows = rows.select("file", "offset", "length", F.floor(F.col("offset") / READ_BYTES).alias("_part"))
+    # the index is small where the archives are not, so the tasks are told by the archives' bytes
+    size = rows.agg(F.sum("length")).first()[0] or 0
+    rows = rows.repartition(max(1, -(-size // TASK_BYTES)), "file", "_part").sortWithinPartitions("file", "offset").select("file", "offset", "length")
 
     def task(batches):
         from pyarrow import fs
