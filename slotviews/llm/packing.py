@@ -11,6 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 #: open windows a task keeps at most before it closes them all, cutting pieces to fit
+#: a task that holds more open windows closes them all, as its memory is bounded
 OPEN_WINDOWS = 4096
 #: words a worker remembers the ids of
 REMEMBERED = 1_000_000
@@ -147,8 +148,9 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, i
     Every task packs the documents it reads in their order, so nothing is shuffled and
     a lost task gives the same rows again. A document is its ids and ``end_id``. Whole
     windows are cut off a document longer than a window; the rest goes to a fill level by
-    the sum-of-squares rule. What is open when a task ends is cut to fill windows, so a
-    task leaves one window that needs padding.
+    the sum-of-squares rule. What is open when a task ends, or when more than OPEN_WINDOWS
+    windows are open, is cut to fill windows, so a task leaves one window that needs padding
+    each time.
 
     Ids are those of the tokenizer file's own ``encode`` without special tokens around the
     text; the string of an added token inside a text is that token.

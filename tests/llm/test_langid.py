@@ -33,6 +33,14 @@ def test_odd_texts(spark):
     assert len(got) == rows.count() and got[4].block == 1
 
 
+def test_mixed_texts_are_ambiguous_and_plain_ones_are_not(spark):
+    rows = [r for r in table(spark, SMALL.replace("sf0.001", "sf0.01"), "documents").collect() if r.lang and len(r.text or "") > 400]
+    model = langid.train(table(spark, SMALL.replace("sf0.001", "sf0.01"), "documents"))
+    mixed = [a.text[:400] + " " + b.text[:400] for a, b in zip(rows, rows[7:], strict=False) if a.lang != b.lang]
+    flagged = lambda texts: np.mean([r.ambiguous for r in langid.predict(documents(spark, texts), model).collect()])
+    assert flagged(mixed) > 0.15 and flagged([r.text for r in rows]) < 0.01
+
+
 def test_nothing_learned(spark):
     model = langid.train(spark.createDataFrame([(1, "text", None, "s", 1, 1, 1, "x", "y"), (2, None, "en", "s", 1, 1, 1, "x", "y")], DOCS))
     assert {r.lang_pred for r in langid.predict(documents(spark, ["some text"]), model).collect()} == {"und"}
