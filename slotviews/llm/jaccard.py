@@ -11,9 +11,9 @@
    block is cut into size bands and its bands into chunks, so that a large group of near
    copies becomes many tiles: pairs of chunks whose sizes can link. A class travels once
    for each tile it belongs to, once in all if its block is small.
-4. Inside a tile, pairs that are not connected yet are bounded from above by the bit
-   counts of hashed bitmaps; what remains is intersected exactly on the sorted arrays.
-   Links that close a circle are not needed and not looked for.
+4. Inside a tile, pairs are bounded from above by the bit counts of hashed bitmaps; what
+   remains is intersected exactly on the sorted arrays. ``linked_pairs`` compares all pairs
+   of a tile; for ``linked_components`` links that close a circle are not looked for.
 """
 
 from __future__ import annotations
@@ -134,7 +134,9 @@ def _count(batches):
     blocks = np.array(blocks, np.int64)
     keep = keep[np.argsort(blocks[at[keep]], kind="stable")]
     of = blocks[at[keep]]
-    starts = np.flatnonzero(np.concatenate(([True], np.diff(of) != 0))) if len(of) else np.empty(0, int)
+    if not len(of):
+        return
+    starts = np.flatnonzero(np.concatenate(([True], np.diff(of) != 0)))
     rows = []
     for a, b in zip(starts, np.append(starts[1:], len(of)), strict=True):
         chosen = keep[a:b]
@@ -208,21 +210,35 @@ def _tiled(placed: DataFrame, percent: int) -> DataFrame:
     return rows.select("class", "n", "grams", F.explode(F.when(F.col("k") <= TILE, whole).otherwise(tiles)).alias("t")).select("t.tile", "t.side", "class", "n", "grams")
 
 
-def tile_links(side: np.ndarray, name: np.ndarray, n: np.ndarray, grams: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links of a tile, without those between classes that others connect."""
+def shared_counts(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of a sorted array with others, by looking their values up in it."""
+    values = np.concatenate(others)
+    at = np.minimum(np.searchsorted(own, values), len(own) - 1)
+    ends = np.cumsum([len(other) for other in others])
+    return np.diff(np.concatenate(([0], np.cumsum(own[at] == values)[ends - 1])))
+
+
+def tile_links(side: np.ndarray, name: np.ndarray, n: np.ndarray, grams: list[np.ndarray], percent: int, every: bool = False) -> list[tuple[int, int, int]]:
+    """Links of a tile as ``(a, b, shared n-grams)``.
+
+    Without ``every``, pairs that other links of the tile connect are not looked at.
+    """
     order = np.argsort(n, kind="stable")
     side, name, n, grams = side[order], name[order], n[order].astype(np.int64), [grams[i] for i in order]
     m = np.array([len(g) for g in grams])
-    ends = np.cumsum(m)
     known, ids = np.unique(np.concatenate(grams), return_inverse=True)
+    sets = np.split(ids, np.cumsum(m)[:-1])
     words = int(np.clip(2 ** int(m.max() - 1).bit_length() // 64, 2, 256))
     bits = (mix(known) % np.uint64(words * 64)).astype(np.int64)[ids]
     signs = np.zeros((len(n), words), np.uint64)
     np.bitwise_or.at(signs, (np.repeat(np.arange(len(n)), m), bits >> 6), np.uint64(1) << (bits & 63).astype(np.uint64))
-    group, mine, links = np.arange(len(n)), np.zeros(len(known), bool), []
+    group, links = np.arange(len(n)), []
     for i in range(len(n)):
         last = np.searchsorted(n, n[i] * 100 // percent, "right")
-        other = i + 1 + np.flatnonzero((group[i + 1 : last] != group[i]) & ((side[i + 1 : last] != side[i]) | (side[i] == 0)))
+        open_pair = (side[i + 1 : last] != side[i]) | (side[i] == 0)
+        if not every:
+            open_pair &= group[i + 1 : last] != group[i]
+        other = i + 1 + np.flatnonzero(open_pair)
         if not len(other):
             continue
         need = -(-percent * (n[other] + n[i]) // (100 + percent))
@@ -231,19 +247,15 @@ def tile_links(side: np.ndarray, name: np.ndarray, n: np.ndarray, grams: list[np
         other, need = other[most >= need], need[most >= need]
         if not len(other):
             continue
-        own = ids[ends[i] - m[i] : ends[i]]
-        mine[own] = True
-        hits = mine[np.concatenate([ids[ends[j] - m[j] : ends[j]] for j in other])]
-        shared = np.add.reduceat(hits, np.concatenate(([0], np.cumsum(m[other])[:-1])), dtype=np.int64)
-        mine[own] = False
-        for j in other[shared >= need]:
-            if group[j] != group[i]:
-                links.append((int(name[i]), int(name[j])))
+        shared = shared_counts(sets[i], [sets[j] for j in other])
+        for j, common in zip(other[shared >= need], shared[shared >= need], strict=True):
+            if every or group[j] != group[i]:
+                links.append((int(name[i]), int(name[j]), int(common)))
                 group[group == group[j]] = group[i]
     return links
 
 
-def _compare(percent: int):
+def _compare(percent: int, every: bool):
     """All rows of some tiles to links."""
 
     def task(batches):
@@ -251,18 +263,53 @@ def _compare(percent: int):
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 tiles.setdefault(row[0], []).append(row[1:])
-        found = []
         for rows in tiles.values():
             if len(rows) > 1:
                 side, name, n, grams = zip(*rows, strict=True)
-                found += tile_links(np.array(side), np.array(name), np.array(n), [np.frombuffer(g, np.uint64) for g in grams], percent)
-        if found:
-            a, b = zip(*found, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                found = tile_links(np.array(side), np.array(name), np.array(n), [np.frombuffer(g, np.uint64) for g in grams], percent, every)
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b", "shared"])
 
     return task
 
 
+def _classes_and_links(docs: DataFrame, words: int, percent: int, every: bool, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, n_shingles, class, text_hash)`` of each row, and ``(a, b, shared)`` of linked classes."""
+    spark = docs.sparkSession
+    parts = shuffle_partitions(spark)
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("hash", F.xxhash64("text"))
+    dealt = rows.mapInArrow(_hash_texts(4 * parts, words), _MOVED).repartition(parts, "part")
+    back = dealt.mapInArrow(_count, _MOVED).repartition(parts, "block")
+    sets = stored(back.mapInArrow(_sets(percent), _SETS), "sets")
+    active = stored(sets.filter("grams IS NOT NULL").dropDuplicates(["class"]), "active")
+    shared = active.select("class", F.explode("prefix").alias("gram"))
+    first = shared.groupBy("gram").agg(F.min("class").alias("first"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+    blocks = components(shared.join(first, "gram").select(F.col("first").alias("a"), F.col("class").alias("b")).distinct())
+    placed = active.select("class", "n", "grams").join(blocks.withColumnRenamed("node", "class"), "class")
+    tiles = _tiled(placed, percent).select("tile", "side", "class", "n", "grams").repartition(parts, "tile")
+    links = tiles.mapInArrow(_compare(percent, every), "a bigint, b bigint, shared bigint")
+    members = sets.filter("grams IS NULL").select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "class", "text_hash")
+    return members, links
+
+
+def linked_pairs(docs: DataFrame, words: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The join itself: ``members (doc_id, n_shingles, class, text_hash)`` and ``links (a, b, shared, similarity)``.
+
+    A class is a set of n-grams, and every row has one (null where it has none); equal sets
+    are one class and need no link. ``links`` has every pair of different classes, ``a``
+    below ``b``, whose intersection is ``percent`` hundredths of their union or more, with
+    the size of the intersection. See ``linked_components`` for sets, nulls and repeats.
+    """
+    members, links = _classes_and_links(docs, words, percent, True, id_col, text_col)
+    members = stored(members.withColumn("class", F.when(F.col("n_shingles") > 0, F.col("class"))), "members")
+    sizes = members.filter("class IS NOT NULL").groupBy("class").agg(F.max("n_shingles").alias("n"))
+    links = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "shared").distinct()
+    for side in ("a", "b"):
+        links = links.join(sizes.select(F.col("class").alias(side), F.col("n").alias(f"n_{side}")), side)
+    similarity = F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))
+    return members, links.select("a", "b", "shared", similarity.alias("similarity"))
+
+
 def linked_components(docs: DataFrame, words: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id, text_hash, first)`` for each row.
 
@@ -279,21 +326,8 @@ def linked_components(docs: DataFrame, words: int = 5, percent: int = 75, id_col
     the smallest id and, of those, the smallest hash, rows without an id last: one document,
     as often as its row is given. Other columns are not read.
     """
-    spark = docs.sparkSession
-    parts = shuffle_partitions(spark)
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("hash", F.xxhash64("text"))
-    dealt = rows.mapInArrow(_hash_texts(4 * parts, words), _MOVED).repartition(parts, "part")
-    back = dealt.mapInArrow(_count, _MOVED).repartition(parts, "block")
-    sets = stored(back.mapInArrow(_sets(percent), _SETS), "sets")
-    active = stored(sets.filter("grams IS NOT NULL").dropDuplicates(["class"]), "active")
-    shared = active.select("class", F.explode("prefix").alias("gram"))
-    first = shared.groupBy("gram").agg(F.min("class").alias("first"), F.count(F.lit(1)).alias("k")).filter("k > 1")
-    blocks = components(shared.join(first, "gram").select(F.col("first").alias("a"), F.col("class").alias("b")).distinct())
-    placed = active.select("class", "n", "grams").join(blocks.withColumnRenamed("node", "class"), "class")
-    tiles = _tiled(placed, percent).select("tile", "side", "class", "n", "grams").repartition(parts, "tile")
-    groups = components(tiles.mapInArrow(_compare(percent), "a bigint, b bigint"))
-
-    members = sets.filter("grams IS NULL").select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "class", "text_hash")
+    members, links = _classes_and_links(docs, words, percent, False, id_col, text_col)
+    groups = components(links.select("a", "b"))
     some = members.filter("n_shingles > 0").join(groups.withColumnRenamed("node", "class"), "class", "left")
     some = some.withColumn("root", F.coalesce("root", "class"))
     place = F.struct(F.col("doc_id").isNull().alias("lost"), "doc_id", "text_hash")

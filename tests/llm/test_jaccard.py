@@ -107,3 +107,40 @@ def test_first_of_a_group_with_equal_and_missing_ids(spark):
     hashes = {t: h for t, h in documents(spark, texts).selectExpr("text", "xxhash64(text)").collect()}
     assert sorted(firsts) == sorted([(5, h) for t in (min(base, base + " more", key=hashes.get), other) for h in [hashes[t]] * texts[:3].count(t)] + ([(5, hashes[base])] if hashes[base] < hashes[base + " more"] else []))
     assert sum(r["first"] for r in rows if not r.n_shingles) == 2
+
+
+def test_every_link_between_different_texts(spark):
+    passage = prose(98, 40)
+    texts = variants(40, 90, 6, 11) + [passage + " " + prose(2000 + i, 40 + i) for i in range(10)] + [prose(2000, 9), prose(2000, 9), None, "", "a b"]
+    members, links = jaccard.linked_pairs(documents(spark, texts))
+    classes = {r.doc_id: r["class"] for r in members.collect()}
+    sets = word_sets(texts)
+    assert set(classes) == set(range(len(texts))) and all((classes[i] is None) == (not s) for i, s in enumerate(sets))
+    want = {}
+    for i in range(len(sets)):
+        for j in range(i):
+            shared, union = len(sets[i] & sets[j]), len(sets[i] | sets[j])
+            if sets[i] and sets[i] != sets[j] and 100 * shared >= 75 * union > 0:
+                want[tuple(sorted((classes[i], classes[j])))] = (shared, round(shared / union, 9))
+    rows = links.collect()
+    assert {(r.a, r.b): (r.shared, round(r.similarity, 9)) for r in rows} == want and len(rows) == len(want) > 40
+    assert all((classes[i] == classes[j]) == (sets[i] == sets[j]) for i in range(len(sets)) for j in range(i) if sets[i] and sets[j])
+
+
+def test_links_do_not_depend_on_the_number_of_partitions(spark):
+    texts, found = variants(30, 80, 5, 12), []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for parts in (3, 50):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            found.append(sorted(tuple(r) for r in jaccard.linked_pairs(documents(spark, texts))[1].collect()))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] and found[0]
+
+
+def test_intersections_of_sorted_arrays():
+    draw = np.random.default_rng(4)
+    own = np.unique(draw.integers(0, 60, 30))
+    others = [np.unique(draw.integers(0, 90, k)) for k in (1, 5, 40, 80)]
+    assert jaccard.shared_counts(own, others).tolist() == [len(np.intersect1d(own, o)) for o in others]
