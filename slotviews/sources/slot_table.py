@@ -1,8 +1,11 @@
 """Slot tables: ``location/client=C/year=…/month=…/day=…/hour=…/min=…``.
 
 A slot counts as complete when it holds a ``_SUCCESS`` marker. Rewriting a window
-takes the markers away first and puts them back last, so a reader never takes a
-half-replaced window for a complete one, and a rerun repairs a broken one.
+takes the markers away first and puts them back last. A marker says nothing of a slot
+that is gone, so before anything changes the window is announced by an empty file in the
+client's ``_replacing`` folder, whose removal is the last step of a write: one deletion that
+makes the whole window readable. Readers refuse windows that an announced one touches, so
+none takes a half-replaced window for a complete one; a rerun that covers it repairs it.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ from slotviews.operators.slots import (
 from slotviews.sources.files import Files
 
 MARKER = "_SUCCESS"
+REPLACING = "_replacing"
 WRITABLE = ("json", "csv", "parquet", "orc")
 _SLOT_PATTERN = "year=*/month=*/day=*/hour=*/min=*"
 # what makes any text come back as it was: line ends, quotes and spaces at its ends
@@ -66,6 +70,26 @@ def slots_below(files: Files, base: str, start, end) -> dict[str, str]:
     return dict(sorted(found.items()))
 
 
+def _digits(folder: str) -> str:
+    """A slot's folder as its id."""
+    return "".join(part.split("=")[1] for part in folder.split("/"))
+
+
+def _announced(files: Files, base: str) -> list[tuple[str, str, str]]:
+    """First and last slot of every window that is being replaced, and its file."""
+    paths = files.glob(f"{base}/{REPLACING}/*-*")
+    return [(*path.rsplit("/", 1)[1].split("-")[:2], path) for path in paths]
+
+
+def check_settled(files: Files, base: str, start, end) -> None:
+    """Raises if a write of some slot of the window has begun and not ended."""
+    steps = window_steps(start, end)
+    first, last = _digits(slot_folder(steps[0])), _digits(slot_folder(steps[-1]))
+    for begin, stop, _ in _announced(files, base):
+        if begin <= last and first <= stop:
+            raise ReadError(f"slots {begin} to {stop} in {base} are not complete: a write of them has not ended")
+
+
 def existing_slots(spark: SparkSession, location: str, client: str, start, end) -> dict[str, str]:
     """Stored slots of the window: relative slot folder -> full path."""
     return slots_below(Files(spark, location), f"{location}/client={client}", start, end)
@@ -182,6 +206,11 @@ def _publish(spark, files: Files, staging: str, location: str, client: str, star
             raise WriteError(f"{len(beyond)} slots outside the window, first {beyond[0]}")
 
     target = f"{location}/client={client}"
+    slots = sorted(map(_digits, window | set(staged)))
+    if not slots:
+        return []
+    files.mkdirs(f"{target}/{REPLACING}")
+    files.touch(f"{target}/{REPLACING}/{slots[0]}-{slots[-1]}-{uuid.uuid4().hex}")
     # no slot that changes may look complete while it does, whether in the window or not;
     # slots of the window that were not listed have no marker to remove
     touched = set(stored) | (set(staged) - window)
@@ -203,6 +232,8 @@ def _publish(spark, files: Files, staging: str, location: str, client: str, star
     files.each(publish, units)
     gone = [path for folder, path in stored.items() if folder not in staged and not any(unit in units for unit in _above(folder))]
     files.each(files.delete, gone)
+    # also what broken writes of these slots have left; the own file is the last step
+    files.each(files.delete, [path for begin, stop, path in _announced(files, target) if slots[0] <= begin and stop <= slots[-1]])
     return sorted(staged)
 
 
@@ -253,15 +284,16 @@ def read_slots(
 ) -> DataFrame:
     """Rows of the stored slots of ``[start, end)``; every slot must be complete.
 
-    Only the window's folders are listed (``found`` passes on a listing that was made),
+    A window that an unfinished write touches is refused. Only the window's folders are listed (``found`` passes on a listing that was made),
     with one more listing a day for the markers, so the cost of planning does not depend on
     how much history the table has. A ``schema`` (of the stored data columns) saves
     the inference pass of JSON. ``require_all`` also refuses gaps in the window.
     """
+    files = Files(spark, location)
+    check_settled(files, f"{location}/client={client}", start, end)
     found = existing_slots(spark, location, client, start, end) if found is None else found
     if not found:
         raise ReadError(f"no slots stored in {location} for {client} in [{start}, {end})")
-    files = Files(spark, location)
     days = sorted({_above(folder)[0] for folder in found})
     marked = files.each(lambda day: files.glob(f"{location}/client={client}/{day}/hour=*/min=*/{MARKER}"), days)
     complete = {"/".join(path.split("/")[-6:-1]) for paths in marked for path in paths}
@@ -305,6 +337,7 @@ def read_window(
     For tables that are listed once and then read for many windows: Spark prunes the
     partitions by the predicate. Keeps the slot columns, month to min as text.
     """
+    check_settled(Files(spark, location), f"{location}/client={client}", start, end)
     reader = spark.read.format(stored_format(fmt))
     if stored_format(fmt) == "csv":
         reader = reader.options(**_CSV, multiLine=True)

@@ -223,3 +223,51 @@ def test_moves_are_whole_folders_where_nothing_stays(spark, tmp_path, monkeypatc
     with pytest.raises(ReadError, match="missing"):
         read_slots(spark, str(tmp_path), "c", "parquet", "202106040000", "202106040130", require_all=True)
     assert read_slots(spark, str(tmp_path), "c", "parquet", "202106040130", "202106080000").count() == 400 - 102
+
+
+STEPS = ("mkdirs", "touch", "delete", "rename")
+
+
+def test_a_write_that_breaks_anywhere_is_never_read(spark, tmp_path, monkeypatch):
+    """The second write of a window is killed at every file-system call in turn."""
+    frame = lambda texts: spark.createDataFrame([(1622704805000 + i * 900_000, t) for i, t in enumerate(texts)], "at bigint, note string")
+    window, schema = ("202106030700", "202106030900"), "at bigint, note string"
+    old, new = ["a", "b", "c"], ["x", None, "z"]
+    real, calls = {name: getattr(Files, name) for name in STEPS}, []
+
+    def killed(name, at):
+        def call(self, *args):
+            calls.append(name)
+            if len(calls) > at and "_staging" not in args[0]:
+                raise KeyboardInterrupt
+            return real[name](self, *args)
+
+        return call
+
+    at, finished = 0, False
+    while not finished:
+        location = f"{tmp_path}/{at}"
+        write_slots(frame(old), location, "at", "c", "parquet", *window)
+        calls.clear()
+        with monkeypatch.context() as patch:
+            for name in STEPS:
+                patch.setattr(Files, name, killed(name, at))
+            try:
+                write_slots(frame(new).where("note IS NOT NULL"), location, "at", "c", "parquet", *window)
+                finished = True
+            except KeyboardInterrupt:
+                pass
+        try:
+            notes = sorted(r.note for r in read_slots(spark, location, "c", "parquet", *window, schema=schema).collect())
+            assert notes in (old, ["x", "z"]), (at, calls)
+        except ReadError as error:
+            assert "not complete" in str(error)
+            with pytest.raises(ReadError):
+                read_window(spark, location, "parquet", "c", *window, schema=schema)
+            # other windows can be read, and a rerun repairs this one
+            write_slots(frame(["later"]).selectExpr("at + 86400000 AS at", "note"), location, "at", "c", "parquet", "202106040700", "202106040900")
+            assert read_slots(spark, location, "c", "parquet", "202106040700", "202106040900").count() == 1
+            write_slots(frame(["x", "z"]), location, "at", "c", "parquet", *window)
+            assert sorted(r.note for r in read_slots(spark, location, "c", "parquet", *window, schema=schema).collect()) == ["x", "z"]
+        at += 3 if at > 6 else 1
+    assert at > 6
