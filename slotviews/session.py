@@ -29,6 +29,10 @@ def build_session(app: str = "slotviews", **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+#: folders that this process was given and has not cleared
+_given: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder name under the cluster's shared checkpoint folder.
 
@@ -40,4 +44,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder")
         shared = tempfile.gettempdir()
-    return f"{shared.rstrip('/')}/slotviews/{label}-{uuid.uuid4().hex}"
+    _given.append(f"{shared.rstrip('/')}/slotviews/{label}-{uuid.uuid4().hex}")
+    return _given[-1]
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Removes the scratch folders of this process; frames that read from them end with it."""
+    count = 0
+    while _given:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_given.pop())
+        count += folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return count

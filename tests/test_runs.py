@@ -1,4 +1,5 @@
 import json
+import os
 from dataclasses import replace
 
 import pytest
@@ -69,3 +70,19 @@ def test_row_tests_over_imports(spark, space):  # noqa: F811
     rows = run_row_tests(spark, sets, "Kinds", "acme", *DAY)
     assert rows.count() == 2 and rows.where("NOT dqPass").count() == 0
     assert space.input_paths
+
+
+def test_scratch_folders_can_be_cleared(spark, tmp_path, monkeypatch):
+    from slotviews import session
+    from slotviews.session import clear_scratch, scratch_path
+
+    monkeypatch.setattr(session, "_given", [])  # those of other tests stay
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        path = scratch_path(spark, "a")
+        spark.range(3).write.parquet(path)
+        scratch_path(spark, "unused")
+        assert clear_scratch(spark) == 1 and not os.path.exists(path) and clear_scratch(spark) == 0
+    finally:
+        spark.conf.unset("spark.checkpoint.dir") if before is None else spark.conf.set("spark.checkpoint.dir", before)
