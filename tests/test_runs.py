@@ -72,17 +72,13 @@ def test_row_tests_over_imports(spark, space):  # noqa: F811
     assert space.input_paths
 
 
-def test_scratch_folders_can_be_cleared(spark, tmp_path, monkeypatch):
+def test_scratch_folders_can_be_cleared(spark, monkeypatch):
     from slotviews import session
-    from slotviews.session import clear_scratch, scratch_path
 
     monkeypatch.setattr(session, "_given", [])  # those of other tests stay
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        path = scratch_path(spark, "a")
-        spark.range(3).write.parquet(path)
-        scratch_path(spark, "unused")
-        assert clear_scratch(spark) == 1 and not os.path.exists(path) and clear_scratch(spark) == 0
-    finally:
-        spark.conf.unset("spark.checkpoint.dir") if before is None else spark.conf.set("spark.checkpoint.dir", before)
+    path = session.scratch_path(spark, "a")
+    spark.range(3).write.parquet(path)
+    session.scratch_path(spark, "unused")
+    local = path.removeprefix("file://")
+    assert os.path.exists(local) and session.clear_scratch(spark) == 1
+    assert not os.path.exists(local) and session.clear_scratch(spark) == 0
