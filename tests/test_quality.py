@@ -1,11 +1,12 @@
 import os
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from tests.conftest import plan_of, rows_of
 
-from slotviews.errors import NoQualityDefinition, QualityError, SpecError
+from slotviews.errors import ExportError, NoQualityDefinition, QualityError, SpecError
 from slotviews.operators.limits import first_n_per_group
 from slotviews.operators.quality import (
     VIOLATION_SCHEMA,
@@ -171,3 +172,33 @@ def test_a_rerun_replaces_its_sample(spark, tmp_path, visits):
     for _ in range(2):
         export_report(found, f"{place}/d", f"{place}/i", f"{place}/s", n=3)
     assert spark.read.parquet(f"{place}/i").count() == 3
+
+
+def test_a_report_is_written_without_a_sort(spark, tmp_path, visits, monkeypatch):
+    """The plan of a partitioned write at the moment of the report's; the session's setting comes back."""
+    sets = [RuleSet(name, "data", "SELECT * FROM visits", "id", (Rule("a", "", "id > 0"), Rule("b", "", "n > 40"))) for name in ("x", "y")]
+    found, place, seen, write = check_rules(spark, sets, RUN), str(tmp_path), [], DataFrameWriter.json
+    limit = "spark.sql.maxConcurrentOutputFileWriters"
+
+    def watched(writer, path, *args, **options):
+        plan = spark.sql("EXPLAIN INSERT INTO report_parts SELECT 'v', CAST(id AS STRING), channel FROM visits").first()[0]
+        seen.append(("WriteFiles" in plan, "Sort" in plan, int(spark.conf.get(limit, "0"))))
+        return write(writer, path, *args, **options)
+
+    spark.sql(f"CREATE TABLE report_parts (v string, a string, b string) USING json PARTITIONED BY (a, b) LOCATION '{place}/t'")
+    monkeypatch.setattr(DataFrameWriter, "json", watched)
+    try:
+        for before in (None, "1"):
+            if before:
+                spark.conf.set(limit, before)
+            export_report(found, f"{place}/d", f"{place}/i", f"{place}/s")
+            assert spark.conf.get(limit, None) == before
+        with pytest.raises(ExportError):
+            export_report(found, f"{place}/s/_SUCCESS/d", f"{place}/i", f"{place}/s")
+        assert spark.conf.get(limit, None) == "1"
+    finally:
+        spark.conf.unset(limit)
+        spark.sql("DROP TABLE report_parts")
+    assert seen == [(True, False, 5)] * 3  # at its limit a task would sort
+    stored = spark.read.json(f"{place}/d/client=acme/job").select("dq_data_set_id", "rule_id", F.col("record_id").cast("int"))
+    assert rows_of(stored) == [(name, rule, i) for name in "xy" for rule, ids in (("a", (1, 2, 3, 4)), ("b", (3, 4))) for i in ids]
